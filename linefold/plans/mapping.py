@@ -36,6 +36,7 @@ LOOKBACK_SINCE = dt.date(1999, 6, 1)     # duplicate test window of the fact
 LONG_SINCE = dt.date(1999, 3, 1)         # originals of backorders
 AS_OF = dt.datetime(2001, 9, 1, 12, 0, 0)
 GCP_INSERT = "2001-09-01 14:00:00"       # Paris text of AS_OF
+REJECT_TIME = "2001-08-31 10:00:00"      # first reject time of the earlier rejects
 PROMO_SINCE = dt.date(1996, 1, 1)
 EMP_SINCE = dt.date(2000, 6, 1)
 
@@ -433,9 +434,7 @@ class Mapping:
         e = self.view("m_events").filter(F.col("is_commission"))
         return e.select("tags", "eventtype", F.col("ts").alias("dana_ingestion_timestamp"), "ingest_date")
 
-    def staged(self) -> DataFrame:
-        """The stage table's 30 columns, with ``id_options`` as an array."""
-        s = self.view("m_staged")
+    def _stage_shape(self, s: DataFrame) -> DataFrame:
         opts = (F.when(F.col("n_opts") == 0, F.array().cast("array<string>"))
                 .when(F.col("n_opts") == 1, F.array(F.lit("")))
                 .otherwise(F.array(F.col("opt1"), F.col("opt2"))))
@@ -444,6 +443,17 @@ class Mapping:
         return s.select(*cols, opts.alias("id_options"), "order_quantity", "order_article_net_price",
                         "reject_insert", "gcp_insert")
 
+    def staged(self) -> DataFrame:
+        """The stage table's 30 columns, with ``id_options`` as an array."""
+        return self._stage_shape(self.view("m_staged"))
+
+    def rejects_prev(self) -> DataFrame:
+        """Rejects of the pass before: staged lines of even orders whose
+        article is unknown, first rejected at a fixed time."""
+        s = self.view("m_staged").filter(F.col("k") % 2 == 0)
+        s = s.join(self.view("m_art").select("articleId"), "articleId", "left_anti")
+        return self._stage_shape(s).withColumn("reject_insert", F.lit(REJECT_TIME))
+
     def fact_old(self) -> DataFrame:
         return self.view("m_fact_old")
 
