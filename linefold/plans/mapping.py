@@ -284,11 +284,38 @@ def oracle_ctes(names: list[str] | tuple[str, ...]) -> str:
 class Mapping:
     """Spark side of M for one data folder. Views are built lazily, once."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.prefix = "lf_" + hashlib.sha1(self.sf_dir.encode()).hexdigest()[:8] + "_"
         self._views: dict[str, DataFrame] = {}
+        self._feeds: dict[str, DataFrame] = {}
+        self.materialize = materialize
+        self._root: str | None = None
+
+    # ------------------------------------------------------------------
+    # Materialization: M is written once per session as Parquet under the
+    # session's checkpoint folder and read back (lineage cut, columnar
+    # input with nested-column pruning for the operators).
+    # ------------------------------------------------------------------
+    def _store(self) -> str:
+        if self._root is None:
+            from linefold.session import checkpoint_root
+            app = self.spark.sparkContext.applicationId
+            self._root = f"{checkpoint_root(self.spark).rstrip('/')}/linefold-m/{app}/{self.prefix.strip('_')}"
+        return self._root
+
+    def _persist(self, name: str, df: DataFrame) -> DataFrame:
+        if not self.materialize:
+            return df
+        path = f"{self._store()}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+    def _feed(self, name: str, build) -> DataFrame:
+        if name not in self._feeds:
+            self._feeds[name] = self._persist(name, build())
+        return self._feeds[name]
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -309,7 +336,7 @@ class Mapping:
             for t in TABLES:
                 if "$" + t in VIEWS[name]:
                     self._register_table(t)
-            df = self.spark.sql(Template(VIEWS[name]).substitute(self._subs()))
+            df = self._persist(name, self.spark.sql(Template(VIEWS[name]).substitute(self._subs())))
             df.createOrReplaceTempView(self.prefix + name)
             self._views[name] = self.spark.table(self.prefix + name)
         return self._views[name]
@@ -321,36 +348,46 @@ class Mapping:
     # ------------------------------------------------------------------
     # Nested feeds
     # ------------------------------------------------------------------
+    def _all_items(self) -> DataFrame:
+        """(k, ts, items): every line of a version in one array of a superset
+        struct, sorted by a stable key; built once, shared by all feeds."""
+        def build() -> DataFrame:
+            lines = self.view("m_lines")
+            o1 = F.struct(F.col("opt1").alias("id"))
+            o2 = F.struct(F.col("opt2").alias("id"))
+            opts = (F.when(F.col("n_opts") == 0, F.array().cast("array<struct<id:string>>"))
+                    .when(F.col("n_opts") == 1, F.array(o1))
+                    .otherwise(F.array(o1, o2)))
+            keyed = lines.select("k", "ts", F.struct(
+                F.col("l_linenumber").alias("s1"), F.col("l_partkey").alias("s2"),
+                F.col("l_suppkey").alias("s3"), F.col("l_quantity").alias("s4"),
+                F.col("l_extendedprice").alias("s5"),
+                F.struct("articleid", "l_quantity", "position_text", "position_num", "replaced",
+                         "l_extendedprice", "net_double", "amount_text", "orderlineid", "line_status",
+                         opts.alias("options")).alias("item")).alias("e"))
+            return (keyed.groupBy("k", "ts")
+                    .agg(F.array_sort(F.collect_list("e")).alias("es"))
+                    .select("k", "ts", F.transform("es", lambda e: e["item"]).alias("items")))
+        return self._feed("all_items", build)
+
     def _versions(self, feed: int, item) -> DataFrame:
-        """Version rows of one feed with their sorted ``items`` array."""
+        """Version rows of one feed with their ``items`` array (``item`` maps
+        an element of the superset struct to the feed's own struct)."""
         heads = self.view("m_heads").filter(F.col("feed") == feed)
-        lines = self.view("m_lines")
-        ver = self.view("m_ver")
-        keyed = lines.select("k", "ts", F.struct(
-            F.col("l_linenumber").alias("s1"), F.col("l_partkey").alias("s2"),
-            F.col("l_suppkey").alias("s3"), F.col("l_quantity").alias("s4"),
-            F.col("l_extendedprice").alias("s5"), item.alias("item")).alias("e"))
-        items = (keyed.groupBy("k", "ts")
-                 .agg(F.array_sort(F.collect_list("e")).alias("es"))
-                 .select("k", "ts", F.transform("es", lambda e: e["item"]).alias("items")))
+        ver = self.view("m_ver").filter(F.col("k") % 4 == feed)
+        items = self._all_items().filter(F.col("k") % 4 == feed)
+        items = items.select("k", "ts", F.transform("items", item).alias("items"))
         v = ver.join(heads, "k").join(items, ["k", "ts"], "left")
         empty = F.array().cast(items.schema["items"].dataType)
         return v.withColumn("items", F.coalesce(F.col("items"), empty))
 
-    def _options(self):
-        o1 = F.struct(F.col("opt1").alias("id"))
-        o2 = F.struct(F.col("opt2").alias("id"))
-        return (F.when(F.col("n_opts") == 0, F.array().cast("array<struct<id:string>>"))
-                .when(F.col("n_opts") == 1, F.array(o1))
-                .otherwise(F.array(o1, o2)))
-
     def _classic(self, feed: int) -> DataFrame:
-        item = F.struct(
-            F.col("articleid").alias("articleId"), F.col("l_quantity").alias("quantity"),
-            F.col("position_text").alias("positionNumber"),
-            F.struct(F.col("l_extendedprice").alias("sumNet"),
-                     F.col("net_double").alias("sumnetdouble")).alias("priceData"),
-            F.struct(self._options().alias("serviceoptions")).alias("articledata"))
+        def item(x):
+            return F.struct(
+                x["articleid"].alias("articleId"), x["l_quantity"].alias("quantity"),
+                x["position_text"].alias("positionNumber"),
+                F.struct(x["l_extendedprice"].alias("sumNet"), x["net_double"].alias("sumnetdouble")).alias("priceData"),
+                F.struct(x["options"].alias("serviceoptions")).alias("articledata"))
         v = self._versions(feed, item)
         return v.select(
             "combiorderid", "combiordernumber", "ordernumber", "fulfillmenttype",
@@ -370,17 +407,26 @@ class Mapping:
             F.col("ts").alias("dana_ingestion_timestamp"), "ingest_date", "items")
 
     def webshop(self) -> DataFrame:
+        return self._feed("webshop", self._build_webshop)
+
+    def _build_webshop(self) -> DataFrame:
         return self._classic(0)
 
     def dropship(self) -> DataFrame:
+        return self._feed("dropship", self._build_dropship)
+
+    def _build_dropship(self) -> DataFrame:
         return self._classic(1)
 
     def marketplace(self) -> DataFrame:
-        item = F.struct(
-            F.col("articleid").alias("articleId"), F.col("l_quantity").alias("quantity"),
-            F.col("l_extendedprice").alias("sumNet"), F.col("orderlineid"),
-            F.col("position_text").alias("positionNumber"),
-            F.col("line_status").alias("miraklOrderLineStatus"))
+        return self._feed("marketplace", self._build_marketplace)
+
+    def _build_marketplace(self) -> DataFrame:
+        def item(x):
+            return F.struct(
+                x["articleid"].alias("articleId"), x["l_quantity"].alias("quantity"),
+                x["l_extendedprice"].alias("sumNet"), x["orderlineid"].alias("orderlineid"),
+                x["position_text"].alias("positionNumber"), x["line_status"].alias("miraklOrderLineStatus"))
         v = self._versions(2, item)
         return v.select(
             "combiorderid", "combiordernumber", "ordernumber", "fulfillmenttype",
@@ -399,11 +445,15 @@ class Mapping:
             F.col("ts").alias("dana_ingestion_timestamp"), "ingest_date", "items")
 
     def fsd(self) -> DataFrame:
-        item = F.struct(
-            F.col("articleid").alias("articleId"), F.col("position_num").alias("positionNumber"),
-            F.col("replaced").alias("replacedItemNumber"), F.col("l_quantity").alias("quantity"),
-            F.struct(F.struct(F.struct(F.col("amount_text").alias("amount")).alias("sumPrice"))
-                     .alias("netPrice")).alias("priceData"))
+        return self._feed("fsd", self._build_fsd)
+
+    def _build_fsd(self) -> DataFrame:
+        def item(x):
+            return F.struct(
+                x["articleid"].alias("articleId"), x["position_num"].alias("positionNumber"),
+                x["replaced"].alias("replacedItemNumber"), x["l_quantity"].alias("quantity"),
+                F.struct(F.struct(F.struct(x["amount_text"].alias("amount")).alias("sumPrice"))
+                         .alias("netPrice")).alias("priceData"))
         v = self._versions(3, item)
         return v.select(
             "ordernumber", "combiordernumber", F.col("combiorderid").alias("combiOrderId"),
@@ -424,6 +474,9 @@ class Mapping:
     # Events, dimensions
     # ------------------------------------------------------------------
     def structured(self) -> DataFrame:
+        return self._feed("structured", self._build_structured)
+
+    def _build_structured(self) -> DataFrame:
         e = self.view("m_events").filter(~F.col("is_commission"))
         return e.select("tags",
                         F.struct(F.col("parsed_order").alias("orderId"),
@@ -431,6 +484,9 @@ class Mapping:
                         "eventtype", F.col("ts").alias("dana_ingestion_timestamp"), "ingest_date")
 
     def commissions(self) -> DataFrame:
+        return self._feed("commissions", self._build_commissions)
+
+    def _build_commissions(self) -> DataFrame:
         e = self.view("m_events").filter(F.col("is_commission"))
         return e.select("tags", "eventtype", F.col("ts").alias("dana_ingestion_timestamp"), "ingest_date")
 
@@ -444,10 +500,16 @@ class Mapping:
                         "reject_insert", "gcp_insert")
 
     def staged(self) -> DataFrame:
+        return self._feed("staged", self._build_staged)
+
+    def _build_staged(self) -> DataFrame:
         """The stage table's 30 columns, with ``id_options`` as an array."""
         return self._stage_shape(self.view("m_staged"))
 
     def rejects_prev(self) -> DataFrame:
+        return self._feed("rejects_prev", self._build_rejects_prev)
+
+    def _build_rejects_prev(self) -> DataFrame:
         """Rejects of the pass before: staged lines of even orders whose
         article is unknown, first rejected at a fixed time."""
         s = self.view("m_staged").filter(F.col("k") % 2 == 0)

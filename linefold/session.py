@@ -63,6 +63,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         cur = spark.sparkContext.getCheckpointDir()
     if cur:
         return cur
+    if not is_local(spark):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="linefold-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
