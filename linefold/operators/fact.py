@@ -153,12 +153,20 @@ def load_fact(staged: DataFrame, fact: DataFrame, art: DataFrame, pref: DataFram
               promo: DataFrame, shop: DataFrame, as_of: dt.datetime, since: dt.date | None,
               since_long: dt.date | None, promo_since: dt.date | None = None,
               marketplace_type: str = K.MARKETPLACE_TYPE,
-              correction_start: dt.date = K.EMPLOYEE_CORRECTION_START, tz: str = K.PARIS) -> DataFrame:
-    """The rows to append to the fact (45 columns)."""
+              correction_start: dt.date = K.EMPLOYEE_CORRECTION_START, tz: str = K.PARIS,
+              materialize=None) -> DataFrame:
+    """The rows to append to the fact (45 columns).
+
+    ``results`` feeds four branches (guarantee block, corrections, final
+    select); ``materialize(df, name)`` (e.g. write and read back under the
+    run folder) computes it once instead of once per branch.
+    """
     cat = guarantee_articles(art)
     guarantees = guarantees_per_order(staged, cat)
     promos = promo_lookup(promo, since if promo_since is None else promo_since)
     results = build_results(staged, guarantees, art, pref, emp, promos, shop, fact, since, marketplace_type)
+    if materialize is not None:
+        results = materialize(results, "results")
     offered = offered_options(results)
     ordered = ordered_guarantees(results, cat)
     under = articles_under_guarantee(offered, cat)

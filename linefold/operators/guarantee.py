@@ -34,13 +34,17 @@ def guarantees_per_order(staged: DataFrame, cat: DataFrame, store: int = K.GUARA
 
 
 def articles_offered_guarantee(staged: DataFrame, cat: DataFrame) -> DataFrame:
-    """Distinct lines having an option that is a guarantee's combined id."""
-    x = staged.select("order_date", "combiordernumber", "ordernumber", "affected_employee", "articleid",
-                      "order_quantity", F.explode("id_options").alias("__op"))
+    """Distinct lines having an option that is a guarantee's combined id.
+
+    The output keeps line columns only and is distinct, so a semi-join gives
+    the same rows as the inner join + DISTINCT without multiplying each
+    option by every guarantee sharing its combined id.
+    """
+    cols = ["order_date", "combiordernumber", "ordernumber", "affected_employee", "articleid", "order_quantity"]
+    x = staged.select(*cols, F.explode("id_options").alias("__op"))
     j = x.join(cat.select(F.col("combinedarticleid").alias("__g_cid")),
-               F.col("__g_cid") == F.col("__op").try_cast("bigint"))
-    return j.select("order_date", "combiordernumber", "ordernumber", "affected_employee", "articleid",
-                    "order_quantity").distinct()
+               F.col("__g_cid") == F.col("__op").try_cast("bigint"), "left_semi")
+    return j.select(*cols).distinct()
 
 
 def guarantee_sales(offered: DataFrame, ordered: DataFrame) -> DataFrame:

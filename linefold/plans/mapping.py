@@ -309,6 +309,8 @@ class Mapping:
         if not self.materialize:
             return df
         path = f"{self._store()}/{name}"
+        n = max(16, 2 * self.spark.sparkContext.defaultParallelism)
+        df = df.repartition(n, "k") if "k" in df.columns else df.repartition(n)
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 

@@ -10,7 +10,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -75,4 +74,4 @@ def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
-__all__ = ["build_session", "checkpoint_root", "is_local", "DEFAULT_CONF", "os"]
+__all__ = ["build_session", "checkpoint_root", "is_local", "DEFAULT_CONF"]

@@ -1,0 +1,13 @@
+"""No streaming operators.
+
+The order job this library rebuilds is a batch job: its "5 minutes" and
+"last 24 hours" names are load windows over today's data in Paris time, run
+on demand, not event-time windows. Nothing in it keeps state between events,
+uses a watermark or handles late data by event time; late or invalid lines
+are handled by the batch pair ``retry_rejects`` (D17) and
+``append_new_only`` (D22), re-run by ``plans.run.run_orders`` (D46).
+
+A caller who wants the pass to run every few minutes schedules
+``run_orders`` with a new ``as_of`` and ``run_id`` each time; each pass is
+idempotent on its own output folders.
+"""
