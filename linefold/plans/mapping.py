@@ -57,7 +57,7 @@ SELECT o_orderkey AS k,
   CASE WHEN o_orderkey % 19 = 0 THEN NULL WHEN o_orderkey % 4 = 0 THEN 'WEBSHOP'
        WHEN o_orderkey % 4 = 1 THEN 'DROPSHIPMENT' WHEN o_orderkey % 4 = 2 THEN 'MARKETPLACE'
        ELSE 'FSD' END AS fulfillmenttype,
-  CAST(o_orderkey % 7 + 110 AS STRING) AS fulfillingstoreid,
+  CASE WHEN o_orderkey % 2 = 0 THEN '113' ELSE CAST(o_orderkey % 7 + 110 AS STRING) END AS fulfillingstoreid,
   CAST(o_custkey % 150 AS STRING) AS customerhomestorenumber,
   CAST(o_custkey AS STRING) AS customernumber,
   CAST(o_custkey * 10 + 1 AS STRING) AS cardholdernumber,
@@ -145,8 +145,8 @@ FROM (
 VIEWS["m_art"] = """
 SELECT CAST(p_partkey AS STRING) AS articleId,
   CAST(p_partkey % 7 + 1 AS BIGINT) AS combinedarticleid,
-  CAST(CASE p_size WHEN 3 THEN 156701 WHEN 7 THEN 163323 WHEN 11 THEN 827176
-       WHEN 19 THEN 681270 WHEN 23 THEN 624097 ELSE 1000000 + p_partkey END AS BIGINT) AS articleNumber,
+  CAST(CASE p_size % 9 WHEN 1 THEN 156701 WHEN 3 THEN 163323 WHEN 5 THEN 827176
+       WHEN 7 THEN 681270 WHEN 8 THEN 624097 ELSE 1000000 + p_partkey END AS BIGINT) AS articleNumber,
   p_partkey AS pk_article
 FROM $part WHERE p_size <= 45
 """
