@@ -19,10 +19,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Runtime (AQE) broadcast only below a measured size; never by hint on
-    # data that grows.
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
-    "spark.sql.autoBroadcastJoinThreshold": "32MB",
+    # Runtime (AQE) broadcast only below a measured size (Spark's default
+    # 10 MB); never by hint on data that grows.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
+    "spark.sql.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -41,6 +41,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        conf["spark.driver.memory"] = "8g"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

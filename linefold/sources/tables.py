@@ -50,9 +50,24 @@ def overwrite(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> s
     return path
 
 
-def append(df: DataFrame, path: str, columns: tuple[str, ...], partition_by: tuple[str, ...] = ()) -> str:
-    """Append in the target's column order (by name, not by position)."""
-    w = df.select(*columns).write.mode("append")
+def append(df: DataFrame, path: str, columns: tuple[str, ...], partition_by: tuple[str, ...] = (),
+           files_per_partition: int = 4, salt_cols: tuple[str, ...] = ("ordernumber",)) -> str:
+    """Append in the target's column order (by name, not by position).
+
+    With ``partition_by``, rows are first clustered by the partition columns
+    plus a hash salt of ``salt_cols`` modulo ``files_per_partition``: each
+    partition value gets at most that many files, written by that many tasks
+    (a one-day load still spreads over several tasks; a backfill of many days
+    does not write one file per task and day).
+    """
+    out = df.select(*columns)
+    if partition_by:
+        salt = [c for c in salt_cols if c in out.columns]
+        keys = [F.col(c) for c in partition_by]
+        if files_per_partition > 1 and salt:
+            keys.append(F.pmod(F.xxhash64(*salt), F.lit(files_per_partition)))
+        out = out.repartition(*keys)
+    w = out.write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
