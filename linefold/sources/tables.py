@@ -74,6 +74,28 @@ def append(df: DataFrame, path: str, columns: tuple[str, ...], partition_by: tup
     return path
 
 
+def append_run(df: DataFrame, path: str, columns: tuple[str, ...], run_id: str,
+               partition_by: tuple[str, ...] = ("order_date",), files_per_partition: int = 4,
+               run_col: str = "load_run", salt_cols: tuple[str, ...] = ("ordernumber",)) -> str:
+    """S9, idempotent: append the rows of one pass under ``run_col=run_id``.
+
+    Written with dynamic partition overwrite on (``partition_by``,
+    ``run_col``): re-running a pass after a failure replaces exactly the
+    partitions of that pass, so the fact never holds a pass twice; other
+    passes' partitions are untouched.
+    """
+    out = df.select(*columns).withColumn(run_col, F.lit(run_id))
+    salt = [c for c in salt_cols if c in out.columns]
+    keys = [F.col(c) for c in partition_by]
+    if files_per_partition > 1 and salt:
+        keys.append(F.pmod(F.xxhash64(*salt), F.lit(files_per_partition)))
+    if keys:
+        out = out.repartition(*keys)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by, run_col).parquet(path))
+    return path
+
+
 def version_path(root: str, name: str, run_id: str) -> str:
     return os.path.join(root, name, f"run={run_id}")
 
@@ -86,4 +108,4 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
-__all__ = ["read_table", "read_window", "overwrite", "append", "version_path", "exists"]
+__all__ = ["read_table", "read_window", "overwrite", "append", "append_run", "version_path", "exists"]

@@ -39,6 +39,9 @@ def test_second_pass_appends_nothing_new(spark):
     n1 = spark.read.parquet(p1["fact"]).count()
     n_new = spark.read.parquet(p1["fact_new"]).count()
     assert n_new > 0
+    # re-running pass one (e.g. after a failure) replaces its own rows, no duplicates
+    run_orders(spark, tables, root, "1", M.AS_OF, win, None)
+    assert spark.read.parquet(p1["fact"]).count() == n1
     p2 = run_orders(spark, tables, root, "2", M.AS_OF, win, p1["rejects"])
     assert spark.read.parquet(p2["fact_new"]).count() == 0
     assert spark.read.parquet(p2["fact"]).count() == n1
