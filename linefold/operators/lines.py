@@ -302,8 +302,8 @@ def conform_feeds(web: DataFrame, drop: DataFrame, mkt: DataFrame, fsd: DataFram
 
 def _fee_branch(df: DataFrame, origin: Column, ddate: Column, dtype: Column, pickup: Column,
                 creation: Column, article: str, merchant: Column, net: Column, payment: Column,
-                cond: Column) -> DataFrame:
-    proj = df.filter(cond).select(
+                cond: Column, feed: int) -> DataFrame:
+    return df.filter(cond).select(
         *_head_cols(origin, ddate, dtype, pickup),
         wall_clock(parse_iso_millis(creation)).alias("creationtime"),
         F.lit(article).alias("articleId"),
@@ -317,10 +317,8 @@ def _fee_branch(df: DataFrame, origin: Column, ddate: Column, dtype: Column, pic
         payment.alias("paymentType_OM"),
         null_of("string").alias("orderComments"),
         F.col(TS).alias("__ts"),
+        F.lit(feed).alias("__feed"),
     )
-    # RANK per order number by load time, then payment type descending.
-    kept = top_rank(proj, ["ordernumber"], [F.col("__ts").asc(), F.col("paymentType_OM").desc()])
-    return kept.drop("__ts")
 
 
 def delivery_fee_lines(web: DataFrame, drop: DataFrame, mkt: DataFrame,
@@ -333,7 +331,7 @@ def delivery_fee_lines(web: DataFrame, drop: DataFrame, mkt: DataFrame,
     first row per order by load time, then payment type descending; the three
     are stacked without duplicates.
     """
-    def classic(df: DataFrame) -> DataFrame:
+    def classic(df: DataFrame, feed: int) -> DataFrame:
         ps = "pricesummary."
         gap = F.col(ps + "sumNetInclTaxesFeesEmpties") - F.col(ps + "sumNetInclTaxesAndFees")
         fee = F.col(ps + "sumDeliveryFees")
@@ -344,7 +342,7 @@ def delivery_fee_lines(web: DataFrame, drop: DataFrame, mkt: DataFrame,
             cond = cond & ingest_since(INGEST_DATE, since) & (local_date(parse_iso_millis(creation)) >= lit_date(since))
         return _fee_branch(df, F.col("orderContext.origin.id"), F.col("deliveryinformation.deliveryDate"),
                            F.col("deliveryinformation.deliveryType"), F.col("deliveryinformation.pickupStoreid"),
-                           creation, K.FEE_ARTICLE, F.lit(""), net, F.col("paymentData.paymentType"), cond)
+                           creation, K.FEE_ARTICLE, F.lit(""), net, F.col("paymentData.paymentType"), cond, feed)
 
     creation = F.coalesce(F.col("orderContext.creationTime"), F.col("creationtime"))
     cond = F.col("priceSummary.sumDeliveryFees") != 0
@@ -352,8 +350,12 @@ def delivery_fee_lines(web: DataFrame, drop: DataFrame, mkt: DataFrame,
         cond = cond & ingest_since(INGEST_DATE, since) & (creation_day(creation, TS) >= lit_date(since))
     m = _fee_branch(mkt, F.col("orderContext.id"), F.col("delivery.Date"), F.col("delivery.Type"),
                     F.col("pickup.storeid"), creation, K.FEE_ARTICLE_MKP, F.col("merchantname"),
-                    F.col("priceSummary.sumDeliveryFees"), F.col("payment.Type"), cond)
-    stacked = classic(web).unionByName(classic(drop)).unionByName(m).distinct()
+                    F.col("priceSummary.sumDeliveryFees"), F.col("payment.Type"), cond, 2)
+    # RANK per feed and order number by load time, then payment type
+    # descending: one window over the three stacked feeds.
+    stacked = classic(web, 0).unionByName(classic(drop, 1)).unionByName(m)
+    kept = top_rank(stacked, ["__feed", "ordernumber"], [F.col("__ts").asc(), F.col("paymentType_OM").desc()])
+    stacked = kept.drop("__ts", "__feed").distinct()
     stacked = stacked.withColumn("creationtime", F.coalesce("creationtime", "dana_ingestion_timestamp_min"))
     return conform(stacked)
 
@@ -369,16 +371,17 @@ def options_per_article(web: DataFrame, drop: DataFrame, since: dt.date | None =
     array holds the distinct options of one article line (bounded by the
     option catalogue), not a group of rows.
     """
-    def one(df: DataFrame) -> DataFrame:
+    def one(df: DataFrame, feed: int) -> DataFrame:
         if since is not None:
             df = df.filter(F.to_date(F.col(TS)) >= lit_date(since))
         x = df.select("combiordernumber", "ordernumber", F.explode_outer("items").alias("item"))
         x = x.select("combiordernumber", "ordernumber", F.col("item.articleId").alias("articleId"),
                      F.explode_outer("item.articledata.serviceoptions").alias("opt"))
         return x.select("combiordernumber", "ordernumber", "articleId",
-                        F.col("opt.id").alias("id_option")).distinct()
+                        F.col("opt.id").alias("id_option"), F.lit(feed).alias("__feed"))
 
-    both = one(web).unionByName(one(drop))
+    # DISTINCT per feed, then UNION ALL: one dedup over the feed-tagged rows.
+    both = one(web, 0).unionByName(one(drop, 1)).distinct()
     return both.groupBy("combiordernumber", "ordernumber", "articleId").agg(
         F.sort_array(F.collect_list(F.coalesce(F.col("id_option"), F.lit("")))).alias("id_options"))
 
