@@ -251,3 +251,23 @@ def test_guarantee_sales_matches_window_definition(spark):
     # the left join on a null combi finds nothing, as in the original
     assert rows(got, "articleid", "qty_order_tot", "count_order_line") == [("a", None, 2), ("b", None, 2),
                                                                            ("c", None, 1)]
+
+
+def test_employee_history_by_name(spark):
+    # D44, trap 19: rows of the window, written with the history's columns by name
+    import uuid
+
+    from linefold.operators import employees
+    from linefold.session import checkpoint_root
+    src = spark.createDataFrame([
+        ("7", "e@x", dt.date(2021, 6, 1), "STORE", 12), ("8", "f@x", dt.date(2021, 5, 31), None, None)],
+        "id string, userprincipalname string, date_of_day date, service string, id_store long")
+    rows_ = employees.employee_history_rows(src.select("userprincipalname", "id_store", "id", "date_of_day",
+                                                       "service"), dt.date(2021, 6, 1))
+    assert rows_.columns == list(employees.HISTORY_COLUMNS)
+    path = f"{checkpoint_root(spark)}/emp-{uuid.uuid4().hex}"
+    employees.append_employee_history(src, path, dt.date(2021, 6, 1))
+    employees.append_employee_history(src, path, dt.date(2021, 5, 1))
+    back = spark.read.parquet(path)
+    assert rows(back, "id", "date_of_day") == [("7", dt.date(2021, 6, 1)), ("7", dt.date(2021, 6, 1)),
+                                               ("8", dt.date(2021, 5, 31))]
