@@ -271,3 +271,24 @@ def test_employee_history_by_name(spark):
     back = spark.read.parquet(path)
     assert rows(back, "id", "date_of_day") == [("7", dt.date(2021, 6, 1)), ("7", dt.date(2021, 6, 1)),
                                                ("8", dt.date(2021, 5, 31))]
+
+
+def test_employee_counts_empty_rules_per_feed(spark):
+    # D12, D13, trap 6: '' is "no employee" for FSD in the per-order count and for
+    # marketplace in the per-combi count only; marketplace counts use its top-level field
+    from linefold.operators import people
+    web = _classic_feed(spark, [_web_row("9-1", T0, 0.0, [])]).limit(0)
+    fsd = spark.createDataFrame([("9-1", "9-1", "c1", "", T0.date(), "2021-06-01T08:00:00.000Z")],
+                                "ordernumber string, combiordernumber string, combiOrderId string, "
+                                "employeeId string, ingest_date date, creationTime string")
+    mkt = spark.createDataFrame([("c1", "9-1", (None, "ctx@x", "2021-06-01T08:00:00.000Z"), None, "", T0.date())],
+                                "combiorderid string, ordernumber string, "
+                                "orderContext struct<id:string, employeeId:string, creationTime:string>, "
+                                "creationtime string, employeeId string, ingest_date date")
+    per_order = people.employees_per_order(web, web, fsd, mkt, since=None, min_date=None)
+    # FSD '' dropped, marketplace '' counted as a value
+    assert rows(per_order) == [("9-1", 1, "")]
+    basket = spark.createDataFrame([("c1", "5", "b@x")], "combiorderid string, bundleId string, userid string")
+    per_combi = people.employees_per_combi(web, web, fsd, mkt, basket, since=None, min_date=None)
+    # FSD '' counted, marketplace '' dropped, basket user added
+    assert rows(per_combi) == [("c1", 2, "b@x")]
