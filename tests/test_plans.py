@@ -101,3 +101,12 @@ def test_allocation_never_exceeds_total(spark, m):
     alloc = guarantee.allocate_running(under, ordered, tot)
     per = alloc.groupBy("ordernumber").agg(F.sum("qty_guarantee_adjusted_sold").alias("a")).join(tot, "ordernumber")
     assert per.filter(F.col("a") > F.col("qty_guar_tot")).count() == 0
+
+
+def test_feed_pipeline_uses_one_shuffle(spark, m):
+    # first version, explode, status rank, DISTINCT and roll-up all run on the one
+    # hash partitioning by (combi, order); the small price view is broadcast
+    df = lines.webshop_lines(m.webshop(), m.view("m_price"), M.SINCE, M.MIN_DATE, M.NET_CUTOFF)
+    p = plan(df)
+    assert p.count("Exchange hashpartitioning") == 1
+    assert "hashpartitioning(combiordernumber" in p
