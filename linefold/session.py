@@ -69,7 +69,6 @@ def checkpoint_root(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="linefold-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
-    spark.conf.set("spark.checkpoint.dir", path)
     return spark.sparkContext.getCheckpointDir() or path
 
 

@@ -15,7 +15,6 @@ def spark():
     if not s.conf.get("spark.checkpoint.dir", None):
         d = tempfile.mkdtemp(prefix="linefold-tests-")
         s.sparkContext.setCheckpointDir(d)
-        s.conf.set("spark.checkpoint.dir", d)
     yield s
     s.stop()
 
