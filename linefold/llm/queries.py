@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from linefold.llm import quality_rules, simhash
+from linefold.llm import mixing, packing, quality_classifier, quality_rules, simhash, toxicity, url_filter
 from linefold.llm.common import table
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+MAX_REPEATS = 1.5
+URL_RULES = [url_filter.Rule(*r) for r in (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+                                           ("allow", "com", "/fr/"), ("block", "com", "/de/"))]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -22,7 +29,30 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_simhash)}
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, capacity=2048)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out=1, folds=3)
+    return found.select("doc_id", "held_out", "score", "predicted", F.size("sentences").cast("long").alias("n_sentences"))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), max_repeats=MAX_REPEATS).select(
+        "doc_id", "source", mixing.estimated_tokens(F.col("text")).alias("n_tokens"), F.col("__copies").alias("copies"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out=0, folds=5)
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_quality_rules, op2_simhash, op3_packing, op6_toxicity, op8_url_filter, op9_mixing, op10_quality_classifier)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {}
