@@ -22,6 +22,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    # lets the context cleaner delete the shuffle files of this step, which nothing reads again
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linefold.llm import mixing, packing, quality_classifier, quality_rules, simhash, toxicity, url_filter
+from linefold.llm import line_dedup, mixing, packing, quality_classifier, quality_rules, simhash, toxicity, url_filter
 from linefold.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -38,6 +38,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted", F.size("sentences").cast("long").alias("n_sentences"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed"), F.md5(F.col("text").cast("binary")).alias("kept_md5"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -52,7 +57,32 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_quality_rules, op2_simhash, op3_packing, op6_toxicity, op8_url_filter, op9_mixing, op10_quality_classifier)}
+    op1_quality_rules, op2_simhash, op3_packing, op6_toxicity, op7_line_dedup, op8_url_filter, op9_mixing, op10_quality_classifier)}
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    # every character of every line is left out in turn; no blocks, no hashes but for the join
+    "op7_line_dedup": """
+        WITH texts AS (SELECT DISTINCT doc_id, text FROM documents),
+        lines AS (
+            SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
+                   generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM texts),
+        long_lines AS (SELECT line, min(struct_pack(d := doc_id, l := line_no)) AS place FROM lines WHERE length(line) >= 50 GROUP BY line),
+        shorter AS (
+            SELECT line, place, p, substring(line, 1, p - 1) || substring(line, p + 1) AS rest
+            FROM (SELECT line, place, unnest(range(1, length(line) + 1)) AS p FROM long_lines)),
+        near AS (
+            SELECT a.line FROM shorter a JOIN shorter b ON md5(a.rest) = md5(b.rest) AND a.p = b.p AND a.rest = b.rest WHERE b.place < a.place
+            UNION SELECT a.line FROM shorter a JOIN long_lines b ON a.rest = b.line WHERE b.place < a.place
+            UNION SELECT a.line FROM long_lines a JOIN shorter b ON b.rest = a.line WHERE b.place < a.place),
+        judged AS (
+            SELECT l.doc_id, l.text, l.line, l.line_no,
+                   coalesce(g.place IS NOT NULL AND (struct_pack(d := l.doc_id, l := l.line_no) > g.place OR l.line IN (SELECT line FROM near)), FALSE) AS gone
+            FROM lines l LEFT JOIN long_lines g ON l.line = g.line),
+        kept AS (
+            SELECT doc_id, text, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+                   coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT gone), '') AS rest
+            FROM judged GROUP BY doc_id, text)
+        SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS n_removed, md5(k.rest) AS kept_md5
+        FROM documents d LEFT JOIN kept k ON d.doc_id IS NOT DISTINCT FROM k.doc_id AND d.text IS NOT DISTINCT FROM k.text""",
+}
