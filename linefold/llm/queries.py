@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linefold.llm import line_dedup, mixing, packing, quality_classifier, quality_rules, simhash, toxicity, url_filter
+from linefold.llm import line_dedup, mixing, packing, quality_classifier, quality_rules, simhash, topk, toxicity, url_filter
 from linefold.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -33,6 +33,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, capacity=2048)
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5, scale=256)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out=1, folds=3)
     return found.select("doc_id", "held_out", "score", "predicted", F.size("sentences").cast("long").alias("n_sentences"))
@@ -57,10 +61,19 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_quality_rules, op2_simhash, op3_packing, op6_toxicity, op7_line_dedup, op8_url_filter, op9_mixing, op10_quality_classifier)}
+    op1_quality_rules, op2_simhash, op3_packing, op4_top_k, op6_toxicity, op7_line_dedup, op8_url_filter, op9_mixing, op10_quality_classifier)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {
+    "op4_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
     # every character of every line is left out in turn; no blocks, no hashes but for the join
     "op7_line_dedup": """
         WITH texts AS (SELECT DISTINCT doc_id, text FROM documents),
