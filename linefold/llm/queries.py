@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linefold.llm import line_dedup, mixing, packing, quality_classifier, quality_rules, simhash, topk, toxicity, url_filter
+from linefold.llm import line_dedup, mixing, packing, quality_classifier, quality_rules, repeats, simhash, topk, toxicity, url_filter
 from linefold.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -37,6 +37,11 @@ def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5, scale=256)
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"), length=50)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out=1, folds=3)
     return found.select("doc_id", "held_out", "score", "predicted", F.size("sentences").cast("long").alias("n_sentences"))
@@ -61,7 +66,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_quality_rules, op2_simhash, op3_packing, op4_top_k, op6_toxicity, op7_line_dedup, op8_url_filter, op9_mixing, op10_quality_classifier)}
+    op1_quality_rules, op2_simhash, op3_packing, op4_top_k, op5_repeats, op6_toxicity, op7_line_dedup, op8_url_filter, op9_mixing, op10_quality_classifier)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {
