@@ -40,11 +40,11 @@ TINY = 1e-6  # below it a value counts as zero
 MIN_ROWS = 100
 REACH = 8.0
 
-#: statistic -> (value, least spread, whether there is a lower fence)
+#: statistic -> (SQL of its value, least spread, whether there is a lower fence)
 RULES = {
-    "word_length": (F.col("word_chars") / F.col("n_words"), 0.1, True),
-    "symbol_share": (F.col("n_symbols") / F.col("n_words"), 0.02, False),
-    "dup_line_share": (F.col("n_dup_lines") / F.col("n_lines"), 0.05, False),
+    "word_length": ("word_chars / nullif(n_words, 0)", 0.1, True),
+    "symbol_share": ("n_symbols / nullif(n_words, 0)", 0.02, False),
+    "dup_line_share": ("n_dup_lines / nullif(n_lines, 0)", 0.05, False),
 }
 
 
@@ -70,7 +70,7 @@ def base_failed(min_words: int = 20, max_repeat_percent: int = 30) -> Column:
 def sketches(rows: DataFrame, lang: str = "lang", source: str = "source", accuracy: float = ACCURACY) -> DataFrame:
     """(lang, source, stat, bucket, n): the leaf sketches of annotated rows."""
     base = math.log((1 + accuracy) / (1 - accuracy))
-    stats = F.explode(F.array(*[F.struct(F.lit(k).alias("stat"), v.cast("double").alias("x")) for k, (v, _, _) in RULES.items()]))
+    stats = F.explode(F.array(*[F.struct(F.lit(k).alias("stat"), F.expr(v).cast("double").alias("x")) for k, (v, _, _) in RULES.items()]))
     bucket = F.when(F.col("s.x") >= TINY, F.ceil(F.log("s.x") / base)).otherwise(F.lit(-(2 ** 31))).cast("int")
     return (rows.select(F.col(lang).alias("lang"), F.col(source).alias("source"), stats.alias("s"))
             .filter("s.x is not null").groupBy("lang", "source", "s.stat", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n")))
@@ -121,6 +121,7 @@ def judge(rows: DataFrame, bounds: DataFrame, lang: str = "lang", source: str =
     joined = rows.join(bounds, rows[lang].eqNullSafe(bounds["__lang"]) & rows[source].eqNullSafe(bounds["__source"]), "left")
     reason = F.when(base_failed(), "base")
     for k, (value, _, two_sided) in RULES.items():
+        value = F.expr(value)
         out = value > F.col(f"{k}_high")
         if two_sided:
             out = out | (value < F.col(f"{k}_low"))

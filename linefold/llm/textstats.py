@@ -14,8 +14,8 @@ WINDOW = 8
 
 
 def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
-    """Words in ``window``-word windows that occur twice or more, the first
-    occurrence included.
+    """Words in ``window``-word windows (``window`` at least 2) that occur
+    twice or more, the first occurrence included.
 
     Words become numbers, then runs of 2, 4, ... words become the rank of
     their two halves; two windows are equal exactly if their ranks are.
