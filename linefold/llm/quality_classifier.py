@@ -36,7 +36,8 @@ MARKS = b".,;:!?"
 #: transformed statistics, in the order ``features`` gives them
 FEATURES = ("log_words", "word_length", "word_length_spread", "symbols", "dup_lines", "repeats", "upper", "digits",
             "marks", "variety", "words_per_line", "short_words")
-SHRINKAGE = 0.1
+SHRINKAGE = 0.05
+PRIOR = 10  # words
 
 
 def features(text: bytes | None) -> list[float]:
@@ -46,9 +47,11 @@ def features(text: bytes | None) -> list[float]:
     words = text.split()
     length = np.fromiter(map(len, words), np.int64, n)
     has = lambda kind: len(text) - len(text.translate(None, kind))
-    return [math.log1p(n), chars / n, math.log1p(float(length.std())), math.asinh(10 * symbols / n), math.sqrt(dup / lines),
-            math.sqrt(repeats / n), math.sqrt(has(UPPER) / len(text)), math.sqrt(has(DIGITS) / len(text)),
-            math.sqrt(has(MARKS) / n), math.log(len(set(words)) / n), math.log1p(n / lines), float((length <= 3).mean())]
+    # a few words say little: shares and means of short texts are drawn to fixed values
+    w, c = n + PRIOR, len(text) + 6 * PRIOR
+    return [math.log1p(n), (chars + 5 * PRIOR) / w, math.log1p(float(length.std()) * n / w), math.asinh(10 * symbols / w), dup / (lines + 5),
+            repeats / w, math.sqrt(has(UPPER) / c), math.sqrt(has(DIGITS) / c), math.sqrt(has(MARKS) / w), math.log((len(set(words)) + PRIOR) / w),
+            math.log1p(n / lines), float((length <= 3).sum()) / w]
 
 
 def with_features(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
