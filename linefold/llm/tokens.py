@@ -4,13 +4,15 @@ The split pattern of such a tokenizer never joins a character with white
 space after it, so a text's ids are those of its space-led words and of its
 line breaks, one after the other. Words repeat, so each worker remembers the
 ids of the words it has met (a bounded number) and asks the tokenizer for new
-ones only. Texts with white space other than single blanks and line breaks
+ones only; a new word of Latin letters, digits and ASCII marks is split by the
+pattern here, and the tokenizer's model merges the parts not met before. Texts with white space other than single blanks and line breaks
 between words take a slower way with the same result.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 
@@ -18,7 +20,15 @@ from linefold.llm.common import worker_cache
 
 RUNS = re.compile(r"(\s*)(\S+)|(\s+)")
 ODD_SPACE = re.compile(r"[^\S \n\t\r]")
-MOST_WORDS = 400_000
+MOST_WORDS = 600_000
+#: the tokenizer's split pattern, for words of these characters only
+LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+SIMPLE = re.compile(f" ?[{LATIN}!-~]+")
+PARTS = re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{LATIN}]+| ?[0-9]+| ?[^{LATIN}0-9 ]+")
+#: byte -> character of the model's alphabet: printable ones stand for
+#: themselves, the others for the code points from 256 on
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+ALPHABET = dict(zip([b for b in range(256) if b not in PRINTABLE], range(256, 512)))
 
 
 class Encoder:
@@ -32,18 +42,35 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.parts: dict[str, bytes] = {}
         self.plain = Words(self, "")
         self.spaced = Words(self, " ")
 
     def ids(self, text: str) -> bytes:
-        """Ids of any text, without the word memory."""
+        """Ids of any text."""
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def word_ids(self, word: str) -> bytes:
+        """Ids of a word, with or without a blank before it."""
+        if not SIMPLE.fullmatch(word):
+            return self.ids(word)
+        out = []
+        for part in PARTS.findall(word):
+            ids = self.parts.get(part)
+            if ids is None:
+                if len(self.parts) >= MOST_WORDS:
+                    self.parts.clear()
+                letters = part.encode().decode("latin-1").translate(ALPHABET)
+                ids = self.parts[part] = array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+            out.append(ids)
+        return b"".join(out)
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         plain, spaced = self.plain, self.spaced.__getitem__
-        if len(text.split()) == text.count(" ") + text.count("\n") + 1:
+        words = text.split()
+        if len(text) - len("".join(words)) == len(words) - 1 == text.count(" ") + text.count("\n"):
             lines = []
             for line in text.split("\n"):
                 first, _, rest = line.partition(" ")
@@ -71,7 +98,7 @@ class Words(dict):
     def __missing__(self, word: str) -> bytes:
         if len(self) >= MOST_WORDS:
             self.clear()
-        ids = self[word] = self.encoder.ids(self.lead + word) if word else b""
+        ids = self[word] = self.encoder.word_ids(self.lead + word) if word else b""
         return ids
 
 
