@@ -110,10 +110,6 @@ def round_sum(c, scale: int = 2) -> Column:
     return F.round(F.sum(col(c).cast("decimal(28,9)")), scale).cast("double")
 
 
-def round2(c) -> Column:
-    return F.round(col(c), 2)
-
-
 # --------------------------------------------------------------------------
 # Maps and text
 # --------------------------------------------------------------------------
@@ -161,8 +157,8 @@ def affected_employee(article, n_emp_combi, basket_user, validated, n_emp_order,
             .otherwise(col(basket_user)))
 
 
-def mask_external_employee(c, domains: Iterable[str] = K.EXTERNAL_DOMAINS) -> Column:
-    """Null for accounts of the external mail domains."""
+def mask_external_employee(c, domains: Iterable[str]) -> Column:
+    """Null for accounts of the external mail domains, which the caller names."""
     out = None
     for d in domains:
         cond = col(c).like("%" + d + "%")

@@ -70,9 +70,6 @@ COMMISSION_EVENTS = (
     "order-submit-employee-commissions.price",
 )
 
-# Mail domains of external accounts whose employee attribution is dropped.
-EXTERNAL_DOMAINS = ("@METRONOM-EXTERNAL", "@ASF.MADM.NET")
-
 # Store attribution.
 NON_ATTRIBUTABLE_STORES = (0, 91, 93, 147, 200)
 STORE_REMAP = {147: 32}            # home store 147 is booked on store 32
@@ -103,6 +100,7 @@ BACKORDER_PREFIX = "9-"
 FACT_ORDER_KINDS = (1, 2)          # 1 order, 2 backorder
 FACT_LOOKBACK_DAYS = 2             # look-back of the duplicate test
 ORIGINAL_LOOKBACK_MONTHS = 3
+FIVE_MINUTE_LOOKBACK = 10          # minutes that a five-minute pass looks back
 
 # Backorder classes.
 BACKORDER_ADDED = "Ajout"

@@ -73,6 +73,18 @@ def pattern_predicate(pattern: str, c, as_of: dt.datetime, tz: str = K.PARIS) ->
     return col(c) >= lit_date(window_start(pattern, as_of, tz))
 
 
+def timestamp_window_start(pattern: str, as_of: dt.datetime, tz: str = K.PARIS) -> dt.datetime:
+    """First Paris wall clock of a named load pattern on timestamps: '5MIN'
+    looks back ten minutes, twice the time between passes."""
+    if pattern.upper() == "5MIN":
+        return local_now(as_of - dt.timedelta(minutes=K.FIVE_MINUTE_LOOKBACK), tz)
+    raise ValueError(f"unknown load pattern: {pattern!r}")
+
+
+def timestamp_predicate(pattern: str, c, as_of: dt.datetime, tz: str = K.PARIS) -> Column:
+    return col(c) >= lit_ts(timestamp_window_start(pattern, as_of, tz))
+
+
 def long_window_start(pattern: str, as_of: dt.datetime) -> dt.date:
     """Start of the long window (originals of backorders): 3 months back."""
     if pattern.upper() == "5MIN":
@@ -89,6 +101,3 @@ def ingest_since(ingest_date, since: dt.date) -> Column:
     """Load-day test, shifted by a day, written so it prunes partitions."""
     return col(ingest_date) >= lit_date(day_before(since))
 
-
-def as_date_col(d: dt.date | str | None) -> Column | None:
-    return None if d is None else F.lit(str(d)).cast("date")

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linefold.functions.columns import lit_date
+from linefold.functions.timewin import window_start
+from linefold.sources.tables import replace_partitions
 
 HISTORY_COLUMNS = ("id", "userprincipalname", "date_of_day", "service", "id_store")
 
@@ -23,8 +25,18 @@ def employee_history_rows(src: DataFrame, since: dt.date | None,
 
 
 def append_employee_history(src: DataFrame, path: str, since: dt.date | None) -> None:
-    """Append the window's rows to the history table at ``path``."""
-    employee_history_rows(src, since).write.mode("append").partitionBy("date_of_day").parquet(path)
+    """Put the window's rows into the history table at ``path``. The days of
+    the window are replaced, so running a window again changes nothing."""
+    rows = employee_history_rows(src, since)
+    replace_partitions(rows, path, tuple(rows.columns), ("date_of_day",))
 
 
-__all__ = ["HISTORY_COLUMNS", "employee_history_rows", "append_employee_history"]
+def run_employees(src: DataFrame, path: str, as_of: dt.datetime, pattern: str = "LAST_24H") -> dt.date:
+    """The employee job: the window of the named load pattern, appended;
+    returns the first day of the window."""
+    since = window_start(pattern, as_of)
+    append_employee_history(src, path, since)
+    return since
+
+
+__all__ = ["HISTORY_COLUMNS", "employee_history_rows", "append_employee_history", "run_employees"]

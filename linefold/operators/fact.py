@@ -18,12 +18,15 @@ from linefold.functions.columns import (attribute_store, classify_backorder, das
                                         lit_date, order_kind, original_key, rekey_backorder,
                                         service_of, split_backorder_measure)
 from linefold.functions.timewin import local_now
+from linefold.sources.tables import written
 from linefold.operators.guarantee import (allocate_running, articles_under_guarantee,
                                           correct_guarantee_employee, guarantee_articles,
                                           guarantee_qty_per_order, guarantees_per_order, offered_options,
                                           ordered_guarantees)
+from linefold.operators.joins import spread
 from linefold.operators.rejects import accept_lines
 
+# The fact's columns, in order, and their types (fixed schema).
 FACT_COLUMNS = (
     "order_date", "order_day", "order_month", "order_time", "origin_id", "combiordernumber",
     "ordernumber", "fulfillmenttype", "fulfillingstoreid", "order_date_orig", "ordernumber_orig",
@@ -47,6 +50,11 @@ FACT_TYPES = {
 }
 
 
+def fact_schema(run_col: str = "load_run") -> str:
+    """DDL of the fact table, the column of the pass included."""
+    return ", ".join(f"`{c}` {FACT_TYPES.get(c, 'string')}" for c in FACT_COLUMNS) + f", `{run_col}` string"
+
+
 def fact_select(df: DataFrame, columns=FACT_COLUMNS) -> DataFrame:
     return df.select(*[F.col(c).cast(FACT_TYPES.get(c, "string")).alias(c) for c in columns])
 
@@ -75,14 +83,6 @@ def append_new_only(new: DataFrame, fact: DataFrame, since: dt.date | None,
     return new.join(old, cond, "left_anti")
 
 
-def write_append(df: DataFrame, path: str, partition_by=("order_date",)) -> None:
-    """Append to the fact by name (the target's column order)."""
-    w = df.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-
-
 def promo_lookup(promo: DataFrame, since: dt.date | None) -> DataFrame:
     """Largest promo id per (day, article, store)."""
     p = promo.filter(F.col("articleId").isNotNull())
@@ -158,15 +158,15 @@ def load_fact(staged: DataFrame, fact: DataFrame, art: DataFrame, pref: DataFram
     """The rows to append to the fact (45 columns).
 
     ``results`` feeds four branches (guarantee block, corrections, final
-    select); ``materialize(df, name)`` (e.g. write and read back under the
-    run folder) computes it once instead of once per branch.
+    select), so it is computed once: ``materialize(df, name)`` writes it and
+    reads it back, by default under the session's checkpoint folder.
     """
+    materialize = materialize or written
     cat = guarantee_articles(art)
     guarantees = guarantees_per_order(staged, cat)
     promos = promo_lookup(promo, since if promo_since is None else promo_since)
     results = build_results(staged, guarantees, art, pref, emp, promos, shop, fact, since, marketplace_type)
-    if materialize is not None:
-        results = materialize(results, "results")
+    results = materialize(results, "results")
     offered = offered_options(results)
     ordered = ordered_guarantees(results, cat)
     under = articles_under_guarantee(offered, cat)
@@ -187,8 +187,10 @@ def load_fact(staged: DataFrame, fact: DataFrame, art: DataFrame, pref: DataFram
                & (F.col("pk_article") == F.col("__c_p")), "left")
     r = r.join(alloc, (F.col("order_date") == F.col("__a_d")) & (F.col("ordernumber") == F.col("__a_o"))
                & (F.col("pk_article") == F.col("__a_p")), "left")
-    r = r.join(ol, (F.col("__key") == F.col("__ol_o")) & (F.col("pk_article") == F.col("__ol_p")), "left")
-    r = r.join(oo, F.col("__key") == F.col("__oo_o"), "left")
+    # order numbers without a second part have no key
+    key = spread("__key", ("combiordernumber", "articleId", "positionNumber"))
+    r = r.join(ol, (key == F.col("__ol_o")) & (F.col("pk_article") == F.col("__ol_p")), "left")
+    r = r.join(oo, key == F.col("__oo_o"), "left")
     on = "ordernumber"
     out = r.select(
         *[c for c in FACT_COLUMNS[:9]],
@@ -212,5 +214,5 @@ def load_fact(staged: DataFrame, fact: DataFrame, art: DataFrame, pref: DataFram
     return fact_select(out)
 
 
-__all__ = ["FACT_COLUMNS", "fact_select", "recent_fact", "append_new_only", "write_append", "promo_lookup",
+__all__ = ["FACT_COLUMNS", "fact_schema", "fact_select", "recent_fact", "append_new_only", "promo_lookup",
            "build_results", "original_orders", "original_lines", "load_fact"]

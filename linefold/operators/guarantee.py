@@ -51,22 +51,23 @@ def guarantee_sales(offered: DataFrame, ordered: DataFrame) -> DataFrame:
     """Per offered line, guarantee total of the order and of the order
     and employee, and the number of such lines.
 
-    Written as aggregates joined back (null-safe on the group keys) instead of
-    windows over a partition: the sums are combined map-side, so a hot order
-    does not pile into one task.
+    Lines are counted per (order, employee), a partial aggregate, so a hot
+    order does not pile into one task; the order's guarantee total and the
+    order's number of lines come from that small table, which is joined back
+    once (null-safe on the group keys). An order has one guarantee total, so a
+    sum over lines is that total times their number.
     """
     keys = ["order_date", "combiordernumber", "ordernumber"]
-    g = ordered.select(*[F.col(k).alias("__s_" + k) for k in keys], "order_qty_guarantee")
-    p = offered.join(g, [F.col(k) == F.col("__s_" + k) for k in keys], "left").drop(
-        *["__s_" + k for k in keys])
-    per_order = p.groupBy(*keys).agg(F.sum("order_qty_guarantee").alias("qty_order_tot"))
     ekeys = keys + ["affected_employee"]
-    per_emp = p.groupBy(*ekeys).agg(F.sum("order_qty_guarantee").alias("qty_order_emp_tot"),
-                                    F.count(F.lit(1)).alias("count_order_line"))
-    po = per_order.select(*[F.col(k).alias("__o_" + k) for k in keys], "qty_order_tot")
-    pe = per_emp.select(*[F.col(k).alias("__e_" + k) for k in ekeys], "qty_order_emp_tot", "count_order_line")
-    out = p.join(po, [F.col(k).eqNullSafe(F.col("__o_" + k)) for k in keys], "left")
-    out = out.join(pe, [F.col(k).eqNullSafe(F.col("__e_" + k)) for k in ekeys], "left")
+    per_emp = offered.groupBy(*ekeys).agg(F.count(F.lit(1)).alias("count_order_line"))
+    lines = F.sum("count_order_line").over(Window.partitionBy(*keys))
+    small = per_emp.withColumn("__lines", lines)
+    g = ordered.select(*[F.col(k).alias("__s_" + k) for k in keys], "order_qty_guarantee")
+    small = small.join(g, [F.col(k) == F.col("__s_" + k) for k in keys], "left")
+    small = small.select(*[F.col(k).alias("__e_" + k) for k in ekeys], "order_qty_guarantee",
+                         (F.col("order_qty_guarantee") * F.col("__lines")).alias("qty_order_tot"),
+                         (F.col("order_qty_guarantee") * F.col("count_order_line")).alias("qty_order_emp_tot"), "count_order_line")
+    out = offered.join(small, [F.col(k).eqNullSafe(F.col("__e_" + k)) for k in ekeys], "left")
     return out.select(*keys, "affected_employee", "articleid", "order_quantity", "order_qty_guarantee",
                       "qty_order_tot", "qty_order_emp_tot", "count_order_line").distinct()
 

@@ -11,11 +11,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linefold.functions import constants as K
-from linefold.operators.stage import STAGE_COLUMNS, stage_select
+from linefold.operators.joins import spread
+from linefold.operators.stage import STAGE_COLUMNS, STAGE_TYPES, stage_select
 
 REJECT_COLUMNS = tuple(c for c in STAGE_COLUMNS if c != "gcp_insert") + ("comments", "gcp_insert")
 
 
+def reject_schema() -> str:
+    """DDL of the reject table."""
+    return ", ".join(f"`{c}` {STAGE_TYPES.get(c, 'string')}" for c in REJECT_COLUMNS)
+
+
 def lookup_joins(staged: DataFrame, art: DataFrame, emp: DataFrame, shop: DataFrame,
                  art_how: str = "left") -> DataFrame:
     """Staged lines with the article, employee-of-the-day and shop lookups.
@@ -27,10 +33,11 @@ def lookup_joins(staged: DataFrame, art: DataFrame, emp: DataFrame, shop: DataFr
     e = emp.select(F.col("userprincipalname").alias("__emp_upn"), F.col("date_of_day").alias("__emp_day"),
                    F.col("service").alias("__service"), F.col("id_store").cast("bigint").alias("store_emp"))
     s = shop.select(F.col("merchantname").alias("__shop_m"), F.col("shopid").cast("bigint").alias("__shop"))
-    j = staged.join(a, F.col("articleid") == F.col("__art"), art_how)
-    j = j.join(e, (F.col("affected_employee") == F.col("__emp_upn")) & (F.col("order_date") == F.col("__emp_day")),
+    j = staged.join(a, spread("articleid", ("ordernumber", "positionNumber")) == F.col("__art"), art_how)
+    by = ("ordernumber", "articleid", "positionNumber")
+    j = j.join(e, (spread("affected_employee", by) == F.col("__emp_upn")) & (F.col("order_date") == F.col("__emp_day")),
                "left")
-    return j.join(s, F.col("merchantname") == F.col("__shop_m"), "left").drop("__emp_day", "__shop_m")
+    return j.join(s, spread("merchantname", by) == F.col("__shop_m"), "left").drop("__emp_day", "__shop_m")
 
 
 def _employee_ok() -> Column:
@@ -70,4 +77,4 @@ def accept_lines(staged: DataFrame, art: DataFrame, emp: DataFrame, shop: DataFr
     return j.filter(_employee_ok() & _shop_ok(marketplace_type))
 
 
-__all__ = ["REJECT_COLUMNS", "lookup_joins", "reject_lines", "accept_lines"]
+__all__ = ["REJECT_COLUMNS", "reject_schema", "lookup_joins", "reject_lines", "accept_lines"]

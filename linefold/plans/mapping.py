@@ -37,11 +37,12 @@ LONG_SINCE = dt.date(1999, 3, 1)         # originals of backorders
 AS_OF = dt.datetime(2001, 9, 1, 12, 0, 0)
 GCP_INSERT = "2001-09-01 14:00:00"       # Paris text of AS_OF
 REJECT_TIME = "2001-08-31 10:00:00"      # first reject time of the earlier rejects
+EXTERNAL_DOMAINS = ("@EXTERNAL.EXAMPLE", "@PARTNER.EXAMPLE")
 PROMO_SINCE = dt.date(1996, 1, 1)
 EMP_SINCE = dt.date(2000, 6, 1)
 
 _EMP = ("CASE WHEN {s} IS NULL THEN NULL WHEN {s} % 5 = 0 THEN NULL "
-        "WHEN {s} % 13 = 0 THEN 'emp' || CAST({s} AS STRING) || '@ASF.MADM.NET' "
+        "WHEN {s} % 13 = 0 THEN 'emp' || CAST({s} AS STRING) || '@EXTERNAL.EXAMPLE' "
         "ELSE 'emp' || CAST({s} AS STRING) || '@x' END")
 _ON = ("CASE WHEN {k} % 10 = 0 THEN '9-' || CAST({k} + 1 AS STRING) || '-1' "
        "ELSE '9-' || CAST({k} AS STRING) END")
@@ -156,7 +157,7 @@ FROM $part WHERE p_size <= 45
 # size is linear in the data; every seventh supplier has no history.
 VIEWS["m_emp"] = """
 SELECT DISTINCT CAST(s.s_suppkey AS STRING) AS id,
-  CASE WHEN s.s_suppkey % 13 = 0 THEN 'emp' || CAST(s.s_suppkey AS STRING) || '@ASF.MADM.NET'
+  CASE WHEN s.s_suppkey % 13 = 0 THEN 'emp' || CAST(s.s_suppkey AS STRING) || '@EXTERNAL.EXAMPLE'
        ELSE 'emp' || CAST(s.s_suppkey AS STRING) || '@x' END AS userprincipalname,
   d.d AS date_of_day,
   CASE s.s_suppkey % 3 WHEN 0 THEN 'STORE' WHEN 1 THEN 'CUSTOMER' ELSE NULL END AS service,

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +21,10 @@ from pyspark.sql.types import StructType
 
 from linefold.functions.columns import lit_date
 from linefold.functions.timewin import day_before
+from linefold.session import checkpoint_root
 
 
-def read_table(spark: SparkSession, name_or_path: str, schema: StructType | None = None) -> DataFrame:
+def read_table(spark: SparkSession, name_or_path: str, schema: StructType | str | None = None) -> DataFrame:
     """A catalog table by name, else a Parquet folder or file."""
     if "/" not in name_or_path and spark.catalog.tableExists(name_or_path):
         return spark.table(name_or_path)
@@ -50,50 +52,65 @@ def overwrite(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> s
     return path
 
 
-def append(df: DataFrame, path: str, columns: tuple[str, ...], partition_by: tuple[str, ...] = (),
-           files_per_partition: int = 4, salt_cols: tuple[str, ...] = ("ordernumber",)) -> str:
-    """Append in the target's column order (by name, not by position).
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under the session's checkpoint folder and read back:
+    computed once for several readers, lineage cut."""
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_root(spark), "linefold-work", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return read_table(spark, path, df.schema)
 
-    With ``partition_by``, rows are first clustered by the partition columns
-    plus a hash salt of ``salt_cols`` modulo ``files_per_partition``: each
-    partition value gets at most that many files, written by that many tasks
-    (a one-day load still spreads over several tasks; a backfill of many days
-    does not write one file per task and day).
-    """
-    out = df.select(*columns)
-    if partition_by:
-        salt = [c for c in salt_cols if c in out.columns]
-        keys = [F.col(c) for c in partition_by]
-        if files_per_partition > 1 and salt:
-            keys.append(F.pmod(F.xxhash64(*salt), F.lit(files_per_partition)))
-        out = out.repartition(*keys)
-    w = out.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+
+def assert_unique(df: DataFrame, keys: tuple[str, ...], name: str) -> DataFrame:
+    """``df``, or an error if a lookup has two rows for a key (a join to it
+    would multiply lines)."""
+    twice = df.dropna(subset=list(keys)).groupBy(*keys).count().filter("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"lookup {name} is not unique on {', '.join(keys)}: {twice[0].asDict()}")
+    return df
+
+
+def replace_partitions(df: DataFrame, path: str, columns: tuple[str, ...], partition_by: tuple[str, ...]) -> str:
+    """S9, idempotent: the rows of ``df``, by name, in place of what the
+    partitions that they fall in hold. Rows are rebalanced on the partition
+    columns first, so Spark sizes the files by bytes, whatever a day holds."""
+    out = df.select(*columns).hint("rebalance", *[F.col(c) for c in partition_by])
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
     return path
 
 
 def append_run(df: DataFrame, path: str, columns: tuple[str, ...], run_id: str,
-               partition_by: tuple[str, ...] = ("order_date",), files_per_partition: int = 4,
-               run_col: str = "load_run", salt_cols: tuple[str, ...] = ("ordernumber",)) -> str:
+               partition_by: tuple[str, ...] = ("order_date",), run_col: str = "load_run") -> str:
     """S9, idempotent: append the rows of one pass under ``run_col=run_id``.
 
-    Written with dynamic partition overwrite on (``partition_by``,
-    ``run_col``): re-running a pass after a failure replaces exactly the
-    partitions of that pass, so the fact never holds a pass twice; other
-    passes' partitions are untouched.
+    Re-running a pass after a failure replaces exactly the partitions
+    (``partition_by``, ``run_col``) of that pass, so the fact never holds a
+    pass twice; other passes' partitions are untouched.
     """
-    out = df.select(*columns).withColumn(run_col, F.lit(run_id))
-    salt = [c for c in salt_cols if c in out.columns]
-    keys = [F.col(c) for c in partition_by]
-    if files_per_partition > 1 and salt:
-        keys.append(F.pmod(F.xxhash64(*salt), F.lit(files_per_partition)))
-    if keys:
-        out = out.repartition(*keys)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by, run_col).parquet(path))
-    return path
+    run = df.select(*columns).withColumn(run_col, F.lit(run_id))
+    return replace_partitions(run, path, (*columns, run_col), (*partition_by, run_col))
+
+
+def compact(spark: SparkSession, path: str, schema: StructType | str, columns: tuple[str, ...], before: dt.date,
+            date_col: str = "order_date", run_col: str = "load_run", run_id: str = "compacted") -> int:
+    """Put the passes of each closed day (before ``before``) into one folder;
+    returns the number of folders removed.
+
+    The rows are written to a folder beside the table first and the new
+    partitions from there, so a failure at any point loses nothing. Readers
+    must wait: between the two steps rows are in the table twice.
+    """
+    closed = read_table(spark, path, schema).filter(F.col(date_col) < lit_date(before))
+    days = closed.groupBy(date_col).agg(F.collect_set(run_col).alias("runs")).filter(F.size("runs") > 1).collect()
+    if not days:
+        return 0
+    beside = path.rstrip("/") + "-compacting"
+    rows = closed.filter(F.col(date_col).isin([r[date_col] for r in days]))
+    rows.write.mode("overwrite").parquet(beside)
+    append_run(read_table(spark, beside, schema), path, columns, run_id, (date_col,), run_col)
+    old = [f"{path}/{date_col}={r[date_col]}/{run_col}={x}" for r in days for x in r["runs"] if x != run_id]
+    remove(spark, *old, beside)
+    return len(old)
 
 
 def version_path(root: str, name: str, run_id: str) -> str:
@@ -108,4 +125,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
-__all__ = ["read_table", "read_window", "overwrite", "append", "append_run", "version_path", "exists"]
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete folders (Hadoop file system of the session)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(p)
+        folder.getFileSystem(conf).delete(folder, True)
+
+
+__all__ = ["read_table", "read_window", "overwrite", "written", "assert_unique", "replace_partitions", "append_run", "compact",
+           "version_path", "exists", "remove"]

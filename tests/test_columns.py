@@ -85,9 +85,9 @@ def test_affected_employee_cascade(spark):
 
 def test_mask_external(spark):
     # D16
-    from linefold.functions.constants import EXTERNAL_DOMAINS as D
+    D = ("@EXTERNAL.EXAMPLE", "@PARTNER.EXAMPLE")
     got = one(spark, [("a" + D[0] + ".COM",), ("b" + D[1],), ("c@x",), (None,)], "e string",
-              C.mask_external_employee("e"))
+              C.mask_external_employee("e", D))
     assert got == [None, None, "c@x", None]
 
 
@@ -127,6 +127,7 @@ def test_time_windows(spark):
     # D45, trap 10
     as_of = dt.datetime(2024, 1, 29, 23, 30)
     assert TW.local_today(as_of) == dt.date(2024, 1, 30)
+    assert TW.timestamp_window_start("5min", as_of) == TW.local_now(as_of) - dt.timedelta(minutes=10)
     assert TW.window_start("5min", as_of) == TW.window_start("LAST_24H", as_of) == dt.date(2024, 1, 30)
     with pytest.raises(ValueError):
         TW.window_start("HOURLY", as_of)

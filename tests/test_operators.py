@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -269,8 +270,12 @@ def test_employee_history_by_name(spark):
     employees.append_employee_history(src, path, dt.date(2021, 6, 1))
     employees.append_employee_history(src, path, dt.date(2021, 5, 1))
     back = spark.read.parquet(path)
-    assert rows(back, "id", "date_of_day") == [("7", dt.date(2021, 6, 1)), ("7", dt.date(2021, 6, 1)),
-                                               ("8", dt.date(2021, 5, 31))]
+    assert rows(back, "id", "date_of_day") == [("7", dt.date(2021, 6, 1)), ("8", dt.date(2021, 5, 31))]
+    # the job: since midnight in Paris; a second run changes nothing
+    as_of = dt.datetime(2021, 5, 31, 22, 30)
+    for _ in range(2):
+        assert employees.run_employees(src, path, as_of) == dt.date(2021, 6, 1)
+    assert spark.read.parquet(path).count() == 2
 
 
 def test_employee_counts_empty_rules_per_feed(spark):
@@ -292,3 +297,57 @@ def test_employee_counts_empty_rules_per_feed(spark):
     per_combi = people.employees_per_combi(web, web, fsd, mkt, basket, since=None, min_date=None)
     # FSD '' counted, marketplace '' dropped, basket user added
     assert rows(per_combi) == [("c1", 2, "b@x")]
+
+
+def test_joins_spread_null_and_hot_keys(spark):
+    from linefold.operators.joins import join_hot_value, spread
+    left = spark.createDataFrame([(i, k) for i, k in enumerate([None] * 40 + [""] * 40 + ["a", "b"])], "i long, k string")
+    right = spark.createDataFrame([("", 1), ("a", 2), (None, 3)], "rk string, v int")
+    got = join_hot_value(left, right, "k", "rk", "", ("i",))
+    assert sorted((r["i"], r["v"]) for r in got.collect()) == [(i, None) for i in range(40)] + [(i, 1) for i in range(40, 80)] + [(80, 2), (81, None)]
+    got = left.join(right, spread("k", ("i",)) == F.col("rk"), "left")
+    assert got.filter("k is null and rk is null").count() == 40 and got.filter("k = 'a' and v = 2").count() == 1
+    # null keys go to many partitions
+    parts = left.filter("k is null").repartition(8, spread("k", ("i",))).select(F.spark_partition_id().alias("p")).distinct()
+    assert parts.count() > 4
+
+
+def test_retry_keeps_one_of_equal_null_key_rejects(spark):
+    from linefold.operators import stage
+    enriched = stage.empty_rejects(spark.range(1)).drop("id_options", "reject_insert")
+    cols = [c for c in stage.STAGE_COLUMNS if c != "gcp_insert"]
+    old = stage.stage_select(spark.createDataFrame([("9-1", None, "t2"), ("9-1", None, "t1"), ("9-2", "5", "t1")],
+                                                   "ordernumber string, articleid string, reject_insert string")
+                             .select("*", *[F.lit(None).cast(stage.STAGE_TYPES.get(c, "string")).alias(c) for c in cols
+                                            if c not in ("ordernumber", "articleid", "reject_insert")]), cols)
+    assert stage.retry_rejects(old, enriched, ()).count() == 3
+    once = stage.retry_rejects(old, enriched, (), distinct_null_keys=True)
+    assert rows(once, "ordernumber", "reject_insert") == [("9-1", "t1"), ("9-2", "t1")]
+
+
+def test_lookups_must_be_unique_if_asked(spark):
+    from linefold.sources.tables import assert_unique
+    df = spark.createDataFrame([("a", 1), (None, 2), (None, 3)], "k string, v int")
+    assert assert_unique(df, ("k",), "art") is df
+    with pytest.raises(ValueError):
+        assert_unique(df.union(df), ("k",), "art")
+
+
+def test_compaction_of_closed_days(spark):
+    import uuid
+
+    from linefold.session import checkpoint_root
+    from linefold.sources import tables
+    path = f"{checkpoint_root(spark)}/compact-{uuid.uuid4().hex}"
+    day = [dt.date(2021, 6, d) for d in (1, 2)]
+    for run in ("r1", "12", "13"):
+        df = spark.createDataFrame([(day[0], run), (day[1], run)], "order_date date, x string")
+        tables.append_run(df, path, ("order_date", "x"), run)
+    schema = "order_date date, x string, load_run string"
+    before = rows(spark.read.schema(schema).parquet(path), "order_date", "x")
+    assert tables.compact(spark, path, schema, ("order_date", "x"), day[1]) == 3
+    back = spark.read.schema(schema).parquet(path)
+    assert rows(back, "order_date", "x") == before
+    assert rows(back.select("order_date", "load_run").distinct()) == [
+        (day[0], "compacted"), (day[1], "12"), (day[1], "13"), (day[1], "r1")]
+    assert tables.compact(spark, path, schema, ("order_date", "x"), day[1]) == 0

@@ -32,7 +32,7 @@ def test_second_pass_appends_nothing_new(spark):
                          commissions=m.commissions(), mkp_orderline=m.view("m_mkp"), price_view=m.view("m_price"),
                          art=m.view("m_art"), emp=m.view("m_emp"), promo=m.view("m_promo"),
                          shop=m.view("m_bridge"), pref=m.view("m_pref"))
-    win = Windows(since=M.SINCE, since_long=M.LONG_SINCE, min_date=M.MIN_DATE, promo_since=M.PROMO_SINCE,
+    win = Windows(since=M.SINCE, since_long=M.LONG_SINCE, external_domains=M.EXTERNAL_DOMAINS, min_date=M.MIN_DATE, promo_since=M.PROMO_SINCE,
                   net_cutoff=M.NET_CUTOFF, fee_cutoff=M.FEE_CUTOFF, marketplace_type=P.MKT)
     root = f"{checkpoint_root(spark).rstrip('/')}/test-run/{uuid.uuid4().hex}"
     p1 = run_orders(spark, tables, root, "1", M.AS_OF, win, None, fact_seed=P._seed(m))
