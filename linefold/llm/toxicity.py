@@ -37,7 +37,7 @@ from linefold.llm.common import fold, written
 from linefold.llm.quality_classifier import labels_of
 
 SAMPLE = 20_000
-VOCABULARY = 2_000
+VOCABULARY = 1_000
 MIN_DOCS = 5
 BEGINNINGS = (3, 4, 5, 6)  # bytes
 STEPS = 300
@@ -108,11 +108,13 @@ def train_noisy_or(y: np.ndarray, doc: np.ndarray, sentence: np.ndarray, word: n
     return theta[:-1], float(theta[-1])
 
 
-def fit(train: DataFrame, sample: int = SAMPLE, vocabulary: int = VOCABULARY) -> Model | float | None:
-    """From rows (id, t binary, y)."""
-    distinct = train.groupBy(F.xxhash64("t").alias("h")).agg(F.min("id").alias("id"), (F.avg("y") >= 0.5).cast("int").alias("y"))
-    chosen = distinct.orderBy("h").limit(sample).select("id", "y")
-    texts = written(train.select("id", "t").dropDuplicates(["id"]).join(chosen, "id"), "toxicity-sample")
+def fit(rows: DataFrame, labelled: DataFrame, sample: int = SAMPLE, vocabulary: int = VOCABULARY) -> Model | float | None:
+    """From rows (id, t binary) and labels (id, y)."""
+    hashed = rows.select("id", F.xxhash64("t").alias("h")).join(labelled, "id")
+    chosen = (hashed.groupBy("h").agg(F.min("id").alias("id"), (F.avg("y") >= 0.5).cast("int").alias("y"))
+              .orderBy("h").limit(sample))  # a bounded table, so it may be broadcast
+    chosen = F.broadcast(written(chosen, "toxicity-sample-ids"))
+    texts = written(rows.withColumn("h", F.xxhash64("t")).join(chosen, ["id", "h"]).dropDuplicates(["h"]).select("t", "y"), "toxicity-sample")
 
     def distinct_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -133,20 +135,20 @@ def fit(train: DataFrame, sample: int = SAMPLE, vocabulary: int = VOCABULARY) ->
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            bags, plain = [], []
+            flat, sizes, plain = [], [], []
             for t in b.column(0).to_pylist():
                 held = [[number[f] for w in words for f in features(w) if f in number] for _, _, words in sentences(t)]
-                bags.append([x for x in held if x])
-                plain.append(len(held) - len(bags[-1]))
-            yield pa.RecordBatch.from_arrays([pa.array(bags, pa.list_(pa.list_(pa.int32()))), pa.array(plain, pa.int64()), b.column(1)],
-                                             names=["bags", "plain", "y"])
-
-    got = texts.select("t", "y").mapInArrow(encode, "bags array<array<int>>, plain bigint, y int").toPandas()  # bounded by sample
-    bags = [list(x) for x in got["bags"]]
-    doc = np.repeat(np.arange(len(bags)), [len(x) for x in bags])
-    each = [s for x in bags for s in x]
-    sentence = np.repeat(np.arange(len(each)), [len(s) for s in each])
-    word = np.concatenate([np.asarray(s, np.int64) for s in each]) if each else np.zeros(0, np.int64)
+                flat.append([x for s in held for x in s])
+                sizes.append([len(s) for s in held if s])
+                plain.append(len(held) - len(sizes[-1]))
+            lists = [pa.array(x, pa.list_(pa.int32())) for x in (flat, sizes)]
+            yield pa.RecordBatch.from_arrays([*lists, pa.array(plain, pa.int64()), b.column(1)], names=["words", "sizes", "plain", "y"])
+
+    # bounded by sample and vocabulary
+    got = texts.select("t", "y").mapInArrow(encode, "words array<int>, sizes array<int>, plain bigint, y int").toPandas()
+    word, size = (np.concatenate([np.zeros(0, np.int32), *got[c]]).astype(np.int32) for c in ("words", "sizes"))
+    doc = np.repeat(np.arange(len(got)), [len(x) for x in got["sizes"]])
+    sentence = np.repeat(np.arange(len(size)), size)
     weights, bias = train_noisy_or(got["y"].to_numpy(), doc, sentence, word, got["plain"].to_numpy(), len(number))
     return Model({w: float(weights[k]) for w, k in number.items()}, bias)
 
@@ -171,7 +173,7 @@ def detect(docs: DataFrame, labels: DataFrame, held_out: int, folds: int, doc_id
     ``sentences`` (byte spans and scores of offending sentences). Labels of
     rows in fold ``held_out`` of ``folds`` (by crc32 of the id) are not seen."""
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("binary").alias("t"))
-    model = fit(rows.join(labels_of(labels, doc_id, label).filter(fold("id", folds) != held_out), "id"))
+    model = fit(rows, labels_of(labels, doc_id, label).filter(fold("id", folds) != held_out))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = WordWeights(model.weights) if isinstance(model, Model) else None
