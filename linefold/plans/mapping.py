@@ -33,7 +33,7 @@ EVENTS_SINCE = dt.date(2024, 1, 5)
 CORRECTION_START = dt.date(1999, 9, 28)
 FACT_SPLIT = dt.date(2000, 1, 1)         # old fact = staged lines before this day
 LOOKBACK_SINCE = dt.date(1999, 6, 1)     # duplicate test window of the fact
-LONG_SINCE = dt.date(1999, 3, 1)         # originals of backorders
+LONG_SINCE = dt.date(1998, 3, 1)         # originals of backorders
 AS_OF = dt.datetime(2001, 9, 1, 12, 0, 0)
 GCP_INSERT = "2001-09-01 14:00:00"       # Paris text of AS_OF
 REJECT_TIME = "2001-08-31 10:00:00"      # first reject time of the earlier rejects
@@ -131,15 +131,18 @@ FROM (
                     WHEN 'click' THEN 'order-submit-employee-commissions.price'
                     WHEN 'view' THEN 'order.submit.employeeCommissions.price'
                     ELSE event_type END AS eventtype,
-    CAST(event_id % 997 AS STRING) AS tag_order,
-    $json_k AS tag_bundle,
+    CAST(CAST(FLOOR(event_id / 2) AS BIGINT) AS STRING) AS tag_order,
+    COALESCE(CASE WHEN event_id % 4 <> 3 THEN CAST(l.art AS STRING) END, $json_k) AS tag_bundle,
     CASE WHEN user_id % 7 = 0 THEN 'u' || CAST(user_id AS STRING)
          ELSE 'u' || CAST(user_id AS STRING) || '@x' END AS tag_user,
-    CAST(event_id % 991 AS STRING) AS parsed_order,
-    'b' || $json_k AS parsed_bundle,
+    CAST(CAST(FLOOR(event_id / 2) AS BIGINT) AS STRING) AS parsed_order,
+    COALESCE(CASE WHEN event_id % 4 <> 3 THEN CAST(l.art AS STRING) END, 'b' || $json_k) AS parsed_bundle,
     CAST(ts AS DATE) AS ingest_date,
     CAST(event_id % 3 = 0 AS BOOLEAN) AS is_commission
   FROM $events
+  -- three of four events are about an article of an order, two events an order
+  LEFT JOIN (SELECT l_orderkey, MIN(l_partkey) AS art FROM $lineitem GROUP BY l_orderkey) l
+    ON l.l_orderkey = CAST(FLOOR(event_id / 2) AS BIGINT)
 ) e
 """
 
@@ -211,7 +214,9 @@ FROM $lineitem
 """
 
 # Staged lines (the stage table's schema) for the fact-side proofs: one row per
-# line item; articles recur across orders (part key mod 50).
+# line item; articles recur across orders (part key mod 50). Backorders and
+# the orders they belong to (keys 0 and 1 mod 10) share articles by line
+# number, and every fourth such pair has equal quantities.
 VIEWS["m_staged"] = f"""
 SELECT CAST(h.orderdate AS DATE) AS order_date,
   CAST(year(h.orderdate) * 10000 + month(h.orderdate) * 100 + dayofmonth(h.orderdate) AS BIGINT) AS order_day,
@@ -227,14 +232,15 @@ SELECT CAST(h.orderdate AS DATE) AS order_date,
   l.employee AS validated_order_employee,
   CAST(NULL AS STRING) AS added_to_basket_employee,
   l.employee AS affected_employee,
-  CAST(l.l_partkey % 50 + 1 AS STRING) AS articleId,
+  CASE WHEN h.k % 10 IN (0, 1) THEN CAST(l.l_linenumber * 7 AS STRING) ELSE CAST(l.l_partkey % 50 + 1 AS STRING) END AS articleId,
   CAST(l.l_linenumber AS BIGINT) AS positionNumber,
   CAST(NULL AS BIGINT) AS shopid,
   CASE WHEN h.feed = 2 THEN l.merchantname ELSE NULL END AS merchantname,
   'CARD' AS paymentType_OM, h.ordercomments AS orderComments,
   l.replaced AS replacedItemNumber,
   l.n_opts, l.opt1, l.opt2,
-  l.l_quantity AS order_quantity, l.l_extendedprice AS order_article_net_price,
+  CASE WHEN h.k % 40 IN (0, 1) THEN CAST(10 + l.l_linenumber AS DOUBLE) ELSE l.l_quantity END AS order_quantity,
+  l.l_extendedprice AS order_article_net_price,
   CAST(NULL AS STRING) AS reject_insert,
   '{GCP_INSERT}' AS gcp_insert,
   h.k AS k

@@ -48,12 +48,15 @@ def test_guarantee_list_is_a_filter_not_a_join(spark, m):
     assert "Join" not in p and "articleNumber" in p
 
 
-def test_guarantee_sales_uses_aggregates_not_windows(spark, m):
+def test_guarantee_sales_counts_lines_before_it_looks_at_orders(spark, m):
     cat = guarantee.guarantee_articles(m.view("m_art"))
     df = guarantee.guarantee_sales(guarantee.articles_offered_guarantee(m.staged(), cat),
                                    guarantee.guarantees_per_order(m.staged(), cat))
-    p = plan(df)
-    assert "Window" not in p and "HashAggregate" in p
+    # the one window is over a row per (order, employee), not over lines
+    p = df._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("Window [") == 1
+    below = p[p.index("Window ["):].splitlines()[1]
+    assert "Aggregate [" in below and "count(1)" in below
 
 
 def test_feed_window_reaches_the_scan(spark, m):
@@ -62,6 +65,61 @@ def test_feed_window_reaches_the_scan(spark, m):
     assert "PushedFilters" in p and "ingest_date" in p
 
 
+def test_windows_prune_partitions(spark):
+    # The load-day window of a feed; D22: the look-back of the duplicate test
+    import uuid
+
+    from linefold.session import checkpoint_root
+    from linefold.sources import tables
+    root = f"{checkpoint_root(spark)}/prune-{uuid.uuid4().hex}"
+    days = spark.sql("SELECT explode(sequence(DATE'2021-06-01', DATE'2021-06-09')) AS d, 'x' AS ordernumber, 'a' AS articleid, 1L AS type_cmd")
+    tables.replace_partitions(days.withColumnRenamed("d", "ingest_date"), root + "/feed", ("ordernumber", "ingest_date"), ("ingest_date",))
+    feed = tables.read_window(spark, root + "/feed", dt.date(2021, 6, 8))
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan(feed) and "2021-06-07" in plan(feed)
+    assert feed.count() == 3 and len(feed.inputFiles()) <= 9
+    tables.append_run(days.withColumnRenamed("d", "order_date"), root + "/fact", ("ordernumber", "articleid", "type_cmd", "order_date"), "r1")
+    old = tables.read_table(spark, root + "/fact", "ordernumber string, articleid string, type_cmd bigint, order_date date, load_run string")
+    df = fact.append_new_only(days.select("ordernumber", "articleid"), old, dt.date(2021, 6, 8))
+    assert "PartitionFilters: [isnotnull(order_date" in plan(df) and "2021-06-06" in plan(df)
+
+
+def test_an_empty_fact_can_start(spark):
+    import uuid
+
+    from linefold.session import checkpoint_root
+    from linefold.sources import tables
+    path = f"{checkpoint_root(spark)}/empty-{uuid.uuid4().hex}"
+    schema = fact.fact_schema()
+    empty = spark.createDataFrame([], schema)
+    tables.append_run(empty, path, fact.FACT_COLUMNS, "seed")
+    assert tables.exists(spark, path)
+    assert tables.read_table(spark, path, schema).filter(F.col("load_run") != "r1").count() == 0
+    one = spark.range(1).select(*[F.lit(None).cast(fact.FACT_TYPES.get(c, "string")).alias(c) for c in fact.FACT_COLUMNS])
+    for run in ("1", "2", "r2"):  # folder names alone would make numbers of the first two
+        tables.append_run(one, path, fact.FACT_COLUMNS, run)
+    back = tables.read_table(spark, path, schema)
+    assert sorted(r["load_run"] for r in back.filter(F.col("load_run") != "r2").collect()) == ["1", "2"]
+
+
+def test_null_keys_are_not_shuffled_as_one_key(spark, m):
+    joined = rejects.lookup_joins(m.staged(), m.view("m_art"), m.view("m_emp"), m.view("m_bridge"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(joined)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    for key in ("affected_employee", "merchantname", "articleid"):
+        assert f"hashpartitioning({key}" not in p
+    assert p.count("hashpartitioning(coalesce(") + p.count("hashpartitioning(order_date") >= 2
+
+
+def test_retry_has_no_window(spark):
+    from linefold.operators import stage
+    e = stage.empty_rejects(spark.range(1))
+    p = stage.retry_rejects(e, e.drop("id_options", "reject_insert"), ("@x",))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in p
+
+
 def test_spread_lines_sum_to_order_total(spark, m):
     # invariant: spread lines of an order sum to its total, up to a cent per line
     x = P._x(m).select("ordernumber", F.col("articleid").alias("articleId"), F.col("l_extendedprice").alias("sumNet"),
