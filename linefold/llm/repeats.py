@@ -122,14 +122,16 @@ def contexts(rows: DataFrame, places: DataFrame, length: int) -> DataFrame:
     """(anchor, d, th, start, context) of each shared anchor's place."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            d, th, raw, found = (b.column(k).to_pylist() for k in range(4))
-            for k, t in enumerate(raw):
-                at = np.sort(np.asarray(found[k], np.int64))
+            places = [np.sort(p.values.to_numpy()) for p in b.column(3)]
+            row = pa.array(np.repeat(np.arange(b.num_rows), [len(p) for p in places]))
+            anchor, starts, cut = [], [], []
+            for t, at in zip(b.column(2).to_pylist(), places):
                 start = np.maximum(at + GRAM - length, 0)
-                anchor = gram_hashes(np.frombuffer(t, np.uint8))[at].view(np.int64)
-                cut = [t[s:p + length] for s, p in zip(start.tolist(), at.tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array([d[k]] * len(at), pa.int64()), pa.array([th[k]] * len(at), pa.int64()),
-                                                  pa.array(start.astype(np.int32)), pa.array(cut, pa.binary())], names=["anchor", "d", "th", "start", "context"])
+                anchor.append(gram_hashes(np.frombuffer(t, np.uint8))[at].view(np.int64))
+                starts.append(start.astype(np.int32))
+                cut += [t[s:p + length] for s, p in zip(start.tolist(), at.tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(anchor)), b.column(0).take(row), b.column(1).take(row),
+                                              pa.array(np.concatenate(starts)), pa.array(cut, pa.binary())], names=["anchor", "d", "th", "start", "context"])
 
     return rows.join(places, ["d", "th"]).select("d", "th", "raw", "places").mapInArrow(
         run, "anchor bigint, d bigint, th bigint, start int, context binary")
@@ -154,8 +156,9 @@ def smallest_documents(texts: list[bytes], docs: np.ndarray, length: int) -> lis
 
 
 def interval_documents(distinct: DataFrame, length: int) -> DataFrame:
-    """(c1, c2, lows): of each distinct context, the smallest documents of its
-    strings. distinct: (anchor, c1, c2, context, d), d the context's own."""
+    """(c1, c2, low, lows): of each distinct context, the smallest document of
+    all its strings (``lows`` null) or of each (``low`` null). distinct:
+    (anchor, c1, c2, context, d), d the context's own."""
     counted = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("context") + 1).alias("bytes"))
     counted = written(counted, "anchor-counts")
     total = counted.filter(F.col("n").between(2, MOST_CONTEXTS)).agg(F.sum("bytes")).first()[0] or 0
@@ -163,31 +166,37 @@ def interval_documents(distinct: DataFrame, length: int) -> DataFrame:
     sized = distinct.join(counted.select("anchor", "n"), "anchor")
     n_strings = F.octet_length("context") - F.lit(length - 1)
 
-    single = sized.filter("n = 1").select("c1", "c2", F.array_repeat("d", n_strings).alias("lows"))
+    none = F.lit(None)
+    single = sized.filter("n = 1").select("c1", "c2", F.col("d").alias("low"), none.cast("array<bigint>").alias("lows"))
 
     def merged(block: pd.DataFrame) -> pd.DataFrame:
         lows = smallest_documents([bytes(c) for c in block["context"]], block["d"].to_numpy(), length)
-        return pd.DataFrame({"c1": block["c1"].to_numpy(), "c2": block["c2"].to_numpy(), "lows": lows})
+        same = [x[0] == x[-1] and (x == x[0]).all() for x in lows]
+        return pd.DataFrame({"c1": block["c1"].to_numpy(), "c2": block["c2"].to_numpy(),
+                             "low": pd.array([int(x[0]) if s else None for x, s in zip(lows, same)], dtype="Int64"),
+                             "lows": [None if s else x for x, s in zip(lows, same)]})
 
     dealt = sized.filter(F.col("n").between(2, MOST_CONTEXTS)).withColumn("block", F.pmod(F.xxhash64("anchor"), F.lit(blocks)))
-    several = dealt.groupBy("block").applyInPandas(merged, "c1 bigint, c2 bigint, lows array<bigint>")
+    several = dealt.groupBy("block").applyInPandas(merged, "c1 bigint, c2 bigint, low bigint, lows array<bigint>")
 
     strings = (sized.filter(F.col("n") > MOST_CONTEXTS)
                .select("c1", "c2", "d", "context", F.posexplode(F.sequence(F.lit(1), n_strings)).alias("k", "p"))
                .select("c1", "c2", "d", "k", F.expr(f"substring(context, p, {length})").alias("string")))
     least = strings.groupBy("string").agg(F.min("d").alias("low"))
     many = (strings.join(least, "string").groupBy("c1", "c2").agg(F.sort_array(F.collect_list(F.struct("k", "low"))).alias("x"))
-            .select("c1", "c2", F.col("x.low").alias("lows")))
+            .select("c1", "c2", none.cast("bigint").alias("low"), F.col("x.low").alias("lows")))
     return single.unionByName(several).unionByName(many)
 
 
-def covered(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
-    """Maximal runs (start, end) of bytes covered by strings at ``starts``."""
-    if not len(starts):
+def covered(first: np.ndarray, last: np.ndarray, length: int) -> list[tuple[int, int]]:
+    """Maximal runs (start, end) of bytes covered by strings that start at
+    ``first`` to ``last``."""
+    if not len(first):
         return []
-    s = np.unique(starts)
-    cut = np.flatnonzero(np.diff(s) > length)
-    return list(zip(s[np.append(0, cut + 1)].tolist(), (s[np.append(cut, len(s) - 1)] + length).tolist()))
+    order = np.argsort(first, kind="stable")
+    start, end = first[order], np.maximum.accumulate(last[order] + length)
+    new = np.flatnonzero(start[1:] > end[:-1]) + 1
+    return list(zip(start[np.append(0, new)].tolist(), end[np.append(new - 1, len(end) - 1)].tolist()))
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -200,20 +209,27 @@ def remove_repeats(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", te
                     .select("*", F.xxhash64("context").alias("c1"), F.xxhash64(F.lit("second"), "context").alias("c2")), "contexts")
     distinct = written(found.groupBy("anchor", "c1", "c2", "context").agg(F.min("d").alias("d")), "distinct-contexts")
     lows = written(interval_documents(distinct, length).dropDuplicates(["c1", "c2"]), "intervals")
-    hit = F.filter(F.transform("lows", lambda low, k: F.when(low < F.col("d"), F.col("start") + k)), lambda x: x.isNotNull())
+    # from where to where strings start that an earlier document has
+    some = F.filter(F.transform("lows", lambda low, k: F.when(low < F.col("d"), F.col("start") + k)), lambda x: x.isNotNull())
+    all_ = F.when(F.col("low") < F.col("d"), F.array("start"))
+    places = found.select("c1", "c2", "d", "th", "start", (F.octet_length("context") - F.lit(length)).alias("more")).join(lows, ["c1", "c2"])
+    places = places.withColumn("first", F.when(F.col("lows").isNull(), all_).otherwise(some)).filter(F.size("first") > 0).select(
+        "d", "th", "first", F.when(F.col("lows").isNull(), F.array(F.col("start") + F.col("more"))).otherwise(F.col("first")).alias("last"))
     # the places of one text, whose size bounds the list
-    gone = (found.select("c1", "c2", "d", "th", "start").join(lows, ["c1", "c2"]).select("d", "th", hit.alias("starts"))
-            .filter(F.size("starts") > 0).groupBy("d", "th").agg(F.flatten(F.collect_list("starts")).alias("starts")))
+    gone = (places.groupBy("d", "th").agg(F.collect_list(F.struct("first", "last")).alias("x"))
+            .select("d", "th", F.flatten("x.first").alias("first"), F.flatten("x.last").alias("last")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            spans, kept = [], []
-            for raw, starts in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                runs = covered(np.asarray(starts if starts is not None else [], np.int64), length)
+            spans, kept, size = [], [], []
+            for raw, *places in zip(b.column(1).to_pylist(), b.column(2), b.column(3)):
+                first, last = (p.values.to_numpy() if p.is_valid else np.zeros(0, np.int64) for p in places)
+                runs = covered(first, last, length)
+                size.append(len(raw))
                 spans.append([{"start": s, "end": e} for s, e in runs])
                 inner = [0, *[x for r in runs for x in r], len(raw)]
                 kept.append(b"".join(raw[s:e] for s, e in zip(inner[::2], inner[1::2])))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(r) for r in b.column(1).to_pylist()], pa.int64()),
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()),
                                               pa.array([sum(x["end"] - x["start"] for x in s) for s in spans], pa.int64()),
                                               pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())],
                                              names=["id", "n_bytes", "n_removed", "spans", "kept"])
@@ -222,7 +238,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", te
                       F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("raw")).withColumn("th", F.xxhash64("raw"))
     schema = own.select("id", *[F.lit(0).cast("long").alias(c) for c in ("n_bytes", "n_removed")],
                         F.lit(None).cast("array<struct<start:bigint,end:bigint>>").alias("spans"), F.col("raw").alias("kept")).schema
-    return own.join(gone, ["d", "th"], "left").select("id", "raw", "starts").mapInArrow(cut, schema).withColumnRenamed("id", doc_id)
+    return own.join(gone, ["d", "th"], "left").select("id", "raw", "first", "last").mapInArrow(cut, schema).withColumnRenamed("id", doc_id)
 
 
 __all__ = ["GRAM", "gram_hashes", "sliding", "anchors", "shared_places", "contexts", "smallest_documents", "interval_documents", "covered",
