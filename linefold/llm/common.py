@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 import uuid
@@ -22,8 +23,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    # lets the context cleaner delete the shuffle files of this step, which nothing reads again
-    spark.sparkContext._jvm.System.gc()
+    # Nothing reads this step's shuffle files again, but Spark keeps them until
+    # the driver has collected the plan: first Python lets go of it, then the JVM.
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -72,13 +72,26 @@ def contexts(line: str, size: str) -> Column:
     return F.expr(f"concat({blocks(True)}, {blocks(False)})")
 
 
+def halves(line: str) -> list[Column]:
+    """Hashes of the first and the second half of the line, as a line of its
+    own length and as one that is a character longer than another: lines one
+    edit apart share at least one."""
+    out = []
+    for more in (0, 1):
+        n = F.length(line) - more
+        cut = F.floor(n / 2).cast("int")
+        out += [F.xxhash64(n, F.lit(0), F.substring(F.col(line), F.lit(1), cut)),
+                F.xxhash64(n, F.lit(1), F.substring(F.col(line), cut + (more + 1), n))]
+    return out
+
+
 def near_lines(docs: DataFrame, distinct: DataFrame, doc_id: str, text: str, min_chars: int) -> DataFrame:
     """(h1, h2) of the distinct lines that have an earlier line one edit away."""
     halves = distinct.select("h1", "h2", "at", F.explode("halves").alias("ctx"))
     met = halves.groupBy("ctx").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("ctx")
     some = halves.join(met, "ctx", "left_semi").select("h1", "h2", "at").distinct()
-    lines = written(occurrences(docs, doc_id, text, min_chars).select("h1", "h2", "at", "line").distinct()
-                    .join(some, ["h1", "h2", "at"], "left_semi"), "near-lines")
+    lines = written(occurrences(docs, doc_id, text, min_chars).select("h1", "h2", "at", "line")
+                    .join(some, ["h1", "h2", "at"], "left_semi").distinct(), "near-lines")
 
     cut = lines.select("h1", "h2", "at", F.explode(contexts("line", "ceil(sqrt(n))")).alias("c")).select("h1", "h2", "at", "c.*")
     met = cut.groupBy("ctx").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("own")).filter("n > 1 and own").select("ctx")
@@ -99,8 +112,7 @@ def near_lines(docs: DataFrame, distinct: DataFrame, doc_id: str, text: str, min
 def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """(d, th, removed): line numbers to remove of each text that has any."""
     found = occurrences(docs, doc_id, text, min_chars)
-    halves = F.transform(contexts("line", "ceil((n) / 2)"), lambda c: c["ctx"])
-    keyed = found.select("h1", "h2", "at", *[halves[k].alias(f"k{k}") for k in range(4)])
+    keyed = found.select("h1", "h2", "at", *[k.alias(f"k{i}") for i, k in enumerate(halves("line"))])
     distinct = written(keyed.groupBy("h1", "h2").agg(F.min("at").alias("at"), *[F.max(f"k{k}").alias(f"k{k}") for k in range(4)])
                        .select("h1", "h2", "at", F.array("k0", "k1", "k2", "k3").alias("halves")), "lines")
     near = near_lines(docs, distinct, doc_id, text, min_chars).withColumn("near", F.lit(True))
