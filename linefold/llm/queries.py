@@ -70,6 +70,63 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {
+    # quantiles of the sketch's buckets by running counts; the levels are sums of the leaves
+    "op1_quality_rules": r"""
+        WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+        w AS (
+            SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+                   list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+        runs AS (SELECT doc_id, i, words[i:i + 7] AS run FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM w WHERE len(words) >= 8)),
+        again AS (SELECT doc_id, run FROM runs GROUP BY ALL HAVING count(*) > 1),
+        covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (
+            SELECT r.doc_id, unnest(range(r.i, r.i + 8)) AS p FROM runs r SEMI JOIN again a ON a.doc_id = r.doc_id AND a.run = r.run) GROUP BY doc_id),
+        c AS (
+            SELECT doc_id, lang, source, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+                   (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+                   (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines
+            FROM w LEFT JOIN covered USING (doc_id)),
+        b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM c),
+        stats AS (
+            SELECT doc_id, lang, source, unnest([{'stat': 'word_length', 'x': word_chars / n_words}, {'stat': 'symbol_share', 'x': n_symbols / n_words},
+                {'stat': 'dup_line_share', 'x': n_dup_lines / n_lines}], recursive := true) FROM b WHERE NOT base_failed),
+        leaf AS (SELECT lang, source, stat, if(x >= 1e-6, ceil(ln(x) / ln(1.01 / 0.99)), -2147483648)::BIGINT AS bucket, count(*) AS n FROM stats GROUP BY ALL),
+        groups AS (SELECT DISTINCT lang, source, stat FROM leaf),
+        levels AS (
+            SELECT g.*, 1 AS level, l.bucket, sum(l.n) AS n FROM groups g JOIN leaf l ON l.stat = g.stat AND l.lang IS NOT DISTINCT FROM g.lang
+              AND l.source IS NOT DISTINCT FROM g.source GROUP BY ALL
+            UNION ALL SELECT g.*, 2, l.bucket, sum(l.n) FROM groups g JOIN leaf l ON l.stat = g.stat AND l.lang IS NOT DISTINCT FROM g.lang GROUP BY ALL
+            UNION ALL SELECT g.*, 3, l.bucket, sum(l.n) FROM groups g JOIN leaf l ON l.stat = g.stat GROUP BY ALL),
+        upto AS (
+            SELECT *, sum(n) OVER (PARTITION BY lang, source, stat, level ORDER BY bucket) AS below, sum(n) OVER (PARTITION BY lang, source, stat, level) AS total,
+                   if(bucket = -2147483648, 0, 2 * pow(1.01 / 0.99, bucket) / (1.01 / 0.99 + 1)) AS x FROM levels),
+        quartiles AS (
+            SELECT lang, source, stat, level, total, min(x) FILTER (below >= 0.25 * total) AS q1, min(x) FILTER (below >= 0.5 * total) AS q2,
+                   min(x) FILTER (below >= 0.75 * total) AS q3 FROM upto GROUP BY ALL),
+        fences AS (
+            SELECT lang, source, stat, arg_min({'q2': q2, 'reach': 8 * greatest(q3 - q1, CASE stat WHEN 'word_length' THEN 0.1 WHEN 'symbol_share' THEN 0.02 ELSE 0.05 END)}, level) AS f
+            FROM quartiles WHERE total >= 100 OR level = 3 GROUP BY ALL),
+        out AS (
+            SELECT s.doc_id, list_sort(list(if(s.stat = 'word_length', '1', if(s.stat = 'symbol_share', '2', '3')) || s.stat)
+                FILTER (s.x > t.f.q2 + t.f.reach OR s.stat = 'word_length' AND s.x < t.f.q2 - t.f.reach))[1][2:] AS reason
+            FROM stats s JOIN fences t ON t.stat = s.stat AND t.lang IS NOT DISTINCT FROM s.lang AND t.source IS NOT DISTINCT FROM s.source GROUP BY s.doc_id)
+        SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND o.reason IS NULL AS kept,
+               if(base_failed, 'base', o.reason) AS reason
+        FROM b LEFT JOIN out o USING (doc_id)""",
+    # the exponent has a closed form for a repetition limit
+    "op9_mixing": """
+        WITH d AS (SELECT doc_id, source, (ceil(strlen(coalesce(text, '')) / 4) + 1)::BIGINT AS n_tokens, md5('0/' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+        s AS (SELECT source, sum(n_tokens) AS total, count(*) AS n FROM d GROUP BY source),
+        a AS (SELECT greatest(0, 1 - if(max(total) = min(total), 1, ln(1.5) / ln(max(total) / min(total)))) AS a, max(total) AS high FROM s),
+        budget AS (SELECT source, total, ceil(sqrt(n))::BIGINT AS blocks, floor(pow(total / high, a) * high + 0.001)::BIGINT AS tokens FROM s, a),
+        parts AS (SELECT *, tokens // total AS whole, tokens % total AS part FROM budget),
+        dealt AS (SELECT d.*, p.whole, p.part, ('0x' || left(h, 7))::BIGINT % blocks AS block FROM d JOIN parts p ON p.source IS NOT DISTINCT FROM d.source),
+        blocks AS (
+            SELECT source, block, sum(t) OVER (PARTITION BY source ORDER BY md5('0/' || coalesce(source, '') || '/' || block), block) - t AS before, t
+            FROM (SELECT source, block, sum(n_tokens) AS t FROM dealt GROUP BY ALL)),
+        placed AS (
+            SELECT d.*, b.before, b.t, sum(n_tokens) OVER (PARTITION BY d.source, d.block ORDER BY h, n_tokens ROWS UNBOUNDED PRECEDING) AS upto
+            FROM dealt d JOIN blocks b ON b.source IS NOT DISTINCT FROM d.source AND b.block = d.block)
+        SELECT doc_id, source, n_tokens, (whole + (before + t <= part OR before + upto <= part)::INT)::BIGINT AS copies FROM placed""",
     "op4_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
