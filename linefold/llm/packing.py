@@ -43,7 +43,7 @@ from linefold.llm.tokens import encoder
 
 GROUPS = 4096
 SMALL_SHARE = 1 / 16  # of the capacity: lengths up to it are small
-RANKED_TOGETHER = 50_000
+RANKED_TOGETHER = 2_000  # pieces of a length ranked in one group, about
 
 
 def pieces(docs: DataFrame, path: str, capacity: int, end_id: int = 0, doc_id: str = "doc_id",
@@ -197,10 +197,11 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, doc_
     """One row per piece: doc_id, piece, start, length, ids_crc32 (of the
     little-endian 32-bit ids), sequence_id, offset."""
     cut = written(pieces(docs, path, capacity, end_id, doc_id, text), "pieces")
-    histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # at most capacity rows
+    counts = cut.groupBy("length").count()  # at most capacity rows
+    histogram = {r["length"]: r["count"] for r in counts.collect()}
     runs = plan(histogram, capacity, groups)
-    salts = -(-max(histogram.values(), default=1) // RANKED_TOGETHER)
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
+    salts = F.broadcast(counts.select("length", F.ceil(F.col("count") / RANKED_TOGETHER).alias("salts")))
+    salted = cut.join(salts, "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("salts")))
     per = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
     before = per.select("length", "salt", (F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).alias("before"))
     own = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")) - 1
