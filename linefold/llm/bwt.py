@@ -2,12 +2,13 @@
 
 A shard's transform is the symbol before each of its suffixes, suffixes in
 order. Transforms are merged by refining an interleave: which shard each row
-of the merged transform comes from. At first the shards stand one after the
-other; a step sorts the rows stably by their symbols, after which rows are in
-the order of one character more (the transform's own step from a suffix to the
-one that is a character longer). Rows that are still equal form blocks, whose
-edges stay where they are once found, so the step that finds an edge tells the
-common prefix there. No suffix is looked at again; the texts are not needed.
+of the merged transform comes from. It starts from the shards' rows merged by their first ``SEED``
+characters, which each shard has in order. A step sorts the rows stably by
+their symbols, after which they are in the order of one character more (the
+transform's own step from a suffix to the one that is a character longer).
+Rows that are still equal form blocks, whose edges stay where they are once
+found, so the step that finds an edge tells the common prefix there. No suffix
+is sorted again, and beyond the seed the texts are not needed.
 
 Symbols are bytes plus one (UTF-8 text has no byte 255), 0 ends a text, and
 ends are all different: a suffix equals no shorter one.
@@ -20,27 +21,31 @@ from typing import NamedTuple
 import numpy as np
 
 
+SEED = 24
+
+
 class Shard(NamedTuple):
     symbols: np.ndarray  # of each suffix in order, the symbol before it
     text: np.ndarray  # of each suffix in order, its text
     start: np.ndarray  # and where it starts
+    head: np.ndarray  # its first SEED symbols, the end and what follows as 0
 
 
 def transform(texts: list[bytes]) -> Shard:
     """The transform of one shard, by sorting its suffixes."""
     size = np.array([len(t) for t in texts])
-    width = int(size.max()) + 1
+    width = max(int(size.max()) + 1, SEED)
     cells = np.zeros((len(texts), 2 * width), np.uint8)
     for i, t in enumerate(texts):
         cells[i, :len(t)] = np.frombuffer(t, np.uint8) + 1
     text = np.repeat(np.arange(len(texts)), size + 1)
     start = np.arange(len(text)) - np.repeat(np.cumsum(size + 1) - size - 1, size + 1)
     views = np.lib.stride_tricks.sliding_window_view(cells, width, axis=1)
-    suffixes = np.ascontiguousarray(views[text, start]).view(f"S{width}").ravel()
-    order = np.argsort(suffixes, kind="stable")
+    suffixes = np.ascontiguousarray(views[text, start])
+    order = np.argsort(suffixes.view(f"S{width}").ravel(), kind="stable")
     text, start = text[order], start[order]
     symbols = np.where(start > 0, cells[text, np.maximum(start - 1, 0)], 0).astype(np.uint8)
-    return Shard(symbols, text, start)
+    return Shard(symbols, text, start, suffixes[order, :SEED])
 
 
 def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -56,12 +61,21 @@ def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
     owner = np.repeat(np.arange(len(shards), dtype=np.uint8), [len(s.symbols) for s in shards])
     ends = np.repeat(np.arange(len(shards), dtype=np.uint8), [int(np.count_nonzero(s.start == 0)) for s in shards])
     n, n_ends = len(symbols), len(ends)
-    block = np.zeros(n, np.int32)
-    common = np.full(n, depth, np.int32)
-    common[0] = 0
-    unfound = np.ones(n, bool)
     merged = np.empty(n, np.uint8)
-    for step in range(1, depth + 1):
+    # the seed: rows by their heads; a head that holds an end equals no other
+    heads = np.concatenate([s.head for s in shards])
+    order = np.argsort(heads.view(f"S{SEED}").ravel(), kind="stable")  # merges runs that are in order
+    owner, heads = owner[order], heads[order]
+    differ = np.concatenate([heads[1:] != heads[:-1], np.ones((n - 1, 1), bool)], axis=1)
+    ended = np.concatenate([heads[1:] == 0, np.ones((n - 1, 1), bool)], axis=1)
+    common = np.append(0, np.minimum(differ.argmax(axis=1), ended.argmax(axis=1))).astype(np.int32)
+    edge = np.append(True, (common[1:] < SEED))
+    unfound = ~edge
+    common = np.where(unfound, depth, np.minimum(common, depth)).astype(np.int32)
+    block = np.cumsum(edge, dtype=np.int32)
+    for step in range(SEED + 1, depth + 1):
+        if not unfound.any():
+            break
         merged[np.argsort(owner, kind="stable")] = symbols  # each shard's rows keep their order
         order = np.argsort(merged, kind="stable")[n_ends:]  # an end is before the first character of a text only
         owner = np.concatenate([ends, owner[order]])
@@ -72,8 +86,6 @@ def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
         common[new] = step - 1
         unfound &= ~edge
         block = np.cumsum(edge, dtype=np.int32)
-        if not unfound.any():
-            break
     rows = np.empty(n, np.int64)
     rows[np.argsort(owner, kind="stable")] = np.arange(n)
     return rows, common

@@ -22,7 +22,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     # Nothing reads this step's shuffle files again, but Spark keeps them until
     # the driver has collected the plan: first Python lets go of it, then the JVM.
     for _ in range(2):

@@ -5,12 +5,14 @@ Every byte covered by a ``length``-byte string that also starts in a document
 with a smaller id is removed; strings overlap freely, never cross documents,
 and are judged on the input.
 
-1. Candidates. Of each run of ``length`` bytes, the ``GRAM``-byte gram with
+1. Texts. Of equal texts the smallest document counts, and the others are
+   removed whole (if they are long enough); no more is done for copies.
+2. Candidates. Of each run of ``length`` bytes, the ``GRAM``-byte gram with
    the smallest hash is an anchor (winnowing): equal strings have equal
-   anchors at equal places. Only anchors that at least two documents share go
-   on, each with its context, the bytes of all strings that hold it.
-2. Contexts that are equal are one, with the smallest document of all of them
-   (a partial aggregate, so copies and common passages are cheap).
+   anchors at equal places. Only anchors that at least two texts share go on,
+   each with its context, the bytes of all strings that hold it. Contexts that
+   are equal are one, with the smallest document of all of them (a partial
+   aggregate, so common passages are cheap).
 3. The distinct contexts are dealt into blocks by anchor. In a block, shards of
    contexts get their Burrows-Wheeler transforms, and these are merged by
    interleave refinement to a depth of ``length`` bytes. Where the common
@@ -26,7 +28,7 @@ and are judged on the input.
 Nulls and edge cases: null and empty texts have no bytes; null ids come after
 all others, and equal ids (null ones too) do not remove from each other, so
 repeated rows are treated alike; texts shorter than ``length`` are kept whole.
-Only the id and text columns are read.
+Texts are told apart by a 64-bit hash. Only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -93,33 +95,32 @@ def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def shared_places(rows: DataFrame, length: int) -> DataFrame:
-    """(d, th, at): per document, the sorted places of anchors that another
-    document has too."""
+    """(th, places): per text, the places of anchors that another text has."""
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [np.unique(anchors(np.frombuffer(t, np.uint8), length)[1]) for t in b.column(1).to_pylist()]
-            d = np.repeat(b.column(0).to_numpy(), [len(f) for f in found])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(d)], names=["anchor", "d"])
+            row = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), b.column(0).take(row)], names=["anchor", "th"])
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [anchors(np.frombuffer(t, np.uint8), length) for t in b.column(2).to_pylist()]
+            found = [anchors(np.frombuffer(t, np.uint8), length) for t in b.column(1).to_pylist()]
             row = pa.array(np.repeat(np.arange(len(found)), [len(at) for at, _ in found]))
             at, anchor = (np.concatenate([f[k] for f in found]) for k in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(anchor), b.column(0).take(row), b.column(1).take(row), pa.array(at.astype(np.int32))],
-                                             names=["anchor", "d", "th", "at"])
+            yield pa.RecordBatch.from_arrays([pa.array(anchor), b.column(0).take(row), pa.array(at.astype(np.int32))], names=["anchor", "th", "at"])
 
-    full = rows.filter(F.octet_length("raw") >= length)
-    met = (full.select("d", "raw").mapInArrow(values, "anchor bigint, d bigint").groupBy("anchor")
-           .agg(F.min("d").alias("low"), F.max("d").alias("high")).filter("low < high").select("anchor"))
+    full = rows.filter(F.octet_length("raw") >= length).select("th", "raw")
+    met = (full.mapInArrow(values, "anchor bigint, th bigint").groupBy("anchor")
+           .agg(F.min("th").alias("low"), F.max("th").alias("high")).filter("low < high").select("anchor"))
     met = written(met, "anchors")
     # the places of one text, whose size bounds the set
-    return (full.mapInArrow(places, "anchor bigint, d bigint, th bigint, at int").join(met, "anchor")
-            .groupBy("d", "th").agg(F.collect_set("at").alias("places")))
+    return written(full.mapInArrow(places, "anchor bigint, th bigint, at int").join(met, "anchor")
+                   .groupBy("th").agg(F.collect_set("at").alias("places")), "places")
 
 
 def contexts(rows: DataFrame, places: DataFrame, length: int) -> DataFrame:
-    """(anchor, d, th, start, context) of each shared anchor's place."""
+    """(anchor, d, th, start, context) of each shared anchor's place; places:
+    (d, th, places) of the documents to look at."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             places = [np.sort(p.values.to_numpy()) for p in b.column(3)]
@@ -161,31 +162,36 @@ def interval_documents(distinct: DataFrame, length: int) -> DataFrame:
     (anchor, c1, c2, context, d), d the context's own."""
     counted = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("context") + 1).alias("bytes"))
     counted = written(counted, "anchor-counts")
-    total = counted.filter(F.col("n").between(2, MOST_CONTEXTS)).agg(F.sum("bytes")).first()[0] or 0
+    crowded = counted.filter(F.col("n") > MOST_CONTEXTS).select("anchor")
+    total = counted.filter(F.col("n") <= MOST_CONTEXTS).agg(F.sum("bytes")).first()[0] or 0
     blocks = -(-total // BLOCK_BYTES) or 1
-    sized = distinct.join(counted.select("anchor", "n"), "anchor")
-    n_strings = F.octet_length("context") - F.lit(length - 1)
-
-    none = F.lit(None)
-    single = sized.filter("n = 1").select("c1", "c2", F.col("d").alias("low"), none.cast("array<bigint>").alias("lows"))
 
     def merged(block: pd.DataFrame) -> pd.DataFrame:
-        lows = smallest_documents([bytes(c) for c in block["context"]], block["d"].to_numpy(), length)
-        same = [x[0] == x[-1] and (x == x[0]).all() for x in lows]
-        return pd.DataFrame({"c1": block["c1"].to_numpy(), "c2": block["c2"].to_numpy(),
-                             "low": pd.array([int(x[0]) if s else None for x, s in zip(lows, same)], dtype="Int64"),
-                             "lows": [None if s else x for x, s in zip(lows, same)]})
+        block["low"] = pd.array(block["d"], dtype="Int64")
+        block["lows"] = None
+        several = np.flatnonzero(block.duplicated("anchor", keep=False))
+        if len(several):
+            docs = block["d"].to_numpy()[several]
+            lows = smallest_documents([bytes(c) for c in block["context"].to_numpy()[several]], docs, length)
+            same = [bool((x == x[0]).all()) for x in lows]
+            block.loc[block.index[several], "low"] = pd.array([int(x[0]) if s else None for x, s in zip(lows, same)], dtype="Int64")
+            column = block["lows"].to_numpy(dtype=object, copy=True)
+            for at, x, s in zip(several, lows, same):
+                column[at] = None if s else x
+            block["lows"] = column
+        return block[["c1", "c2", "low", "lows"]]
+
+    usual = distinct.join(crowded, "anchor", "left_anti").withColumn("block", F.pmod(F.xxhash64("anchor"), F.lit(blocks)))
+    usual = usual.groupBy("block").applyInPandas(merged, "c1 bigint, c2 bigint, low bigint, lows array<bigint>")
 
-    dealt = sized.filter(F.col("n").between(2, MOST_CONTEXTS)).withColumn("block", F.pmod(F.xxhash64("anchor"), F.lit(blocks)))
-    several = dealt.groupBy("block").applyInPandas(merged, "c1 bigint, c2 bigint, low bigint, lows array<bigint>")
-
-    strings = (sized.filter(F.col("n") > MOST_CONTEXTS)
+    n_strings = F.octet_length("context") - F.lit(length - 1)
+    strings = (distinct.join(crowded, "anchor")
                .select("c1", "c2", "d", "context", F.posexplode(F.sequence(F.lit(1), n_strings)).alias("k", "p"))
                .select("c1", "c2", "d", "k", F.expr(f"substring(context, p, {length})").alias("string")))
     least = strings.groupBy("string").agg(F.min("d").alias("low"))
     many = (strings.join(least, "string").groupBy("c1", "c2").agg(F.sort_array(F.collect_list(F.struct("k", "low"))).alias("x"))
-            .select("c1", "c2", none.cast("bigint").alias("low"), F.col("x.low").alias("lows")))
-    return single.unionByName(several).unionByName(many)
+            .select("c1", "c2", F.lit(None).cast("bigint").alias("low"), F.col("x.low").alias("lows")))
+    return usual.unionByName(many)
 
 
 def covered(first: np.ndarray, last: np.ndarray, length: int) -> list[tuple[int, int]]:
@@ -205,19 +211,22 @@ def remove_repeats(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", te
     if length < GRAM + 1:
         raise ValueError(f"strings must be longer than {GRAM} bytes")
     rows = _rows(docs, doc_id, text)
-    found = written(contexts(rows, shared_places(rows, length), length)
-                    .select("*", F.xxhash64("context").alias("c1"), F.xxhash64(F.lit("second"), "context").alias("c2")), "contexts")
-    distinct = written(found.groupBy("anchor", "c1", "c2", "context").agg(F.min("d").alias("d")), "distinct-contexts")
+    texts = written(rows.groupBy("th").agg(F.min("d").alias("d")), "texts")
+    shared = shared_places(rows, length).join(texts, "th")
+    found = written(contexts(rows, shared, length), "contexts")
+    named = (F.xxhash64("context").alias("c1"), F.xxhash64(F.lit("second"), "context").alias("c2"))
+    distinct = written(found.groupBy("anchor", "context").agg(F.min("d").alias("d")), "distinct-contexts").select("*", *named)
     lows = written(interval_documents(distinct, length).dropDuplicates(["c1", "c2"]), "intervals")
     # from where to where strings start that an earlier document has
     some = F.filter(F.transform("lows", lambda low, k: F.when(low < F.col("d"), F.col("start") + k)), lambda x: x.isNotNull())
     all_ = F.when(F.col("low") < F.col("d"), F.array("start"))
-    places = found.select("c1", "c2", "d", "th", "start", (F.octet_length("context") - F.lit(length)).alias("more")).join(lows, ["c1", "c2"])
+    places = found.select(*named, "d", "th", "start", (F.octet_length("context") - F.lit(length)).alias("more")).join(lows, ["c1", "c2"])
     places = places.withColumn("first", F.when(F.col("lows").isNull(), all_).otherwise(some)).filter(F.size("first") > 0).select(
         "d", "th", "first", F.when(F.col("lows").isNull(), F.array(F.col("start") + F.col("more"))).otherwise(F.col("first")).alias("last"))
     # the places of one text, whose size bounds the list
-    gone = (places.groupBy("d", "th").agg(F.collect_list(F.struct("first", "last")).alias("x"))
-            .select("d", "th", F.flatten("x.first").alias("first"), F.flatten("x.last").alias("last")))
+    gone = (places.groupBy("th").agg(F.collect_list(F.struct("first", "last")).alias("x"))
+            .select("th", F.flatten("x.first").alias("first"), F.flatten("x.last").alias("last")))
+    verdict = written(texts.withColumnRenamed("d", "__d").join(gone, "th", "left"), "verdicts")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -238,7 +247,13 @@ def remove_repeats(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", te
                       F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("raw")).withColumn("th", F.xxhash64("raw"))
     schema = own.select("id", *[F.lit(0).cast("long").alias(c) for c in ("n_bytes", "n_removed")],
                         F.lit(None).cast("array<struct<start:bigint,end:bigint>>").alias("spans"), F.col("raw").alias("kept")).schema
-    return own.join(gone, ["d", "th"], "left").select("id", "raw", "first", "last").mapInArrow(cut, schema).withColumnRenamed("id", doc_id)
+    # a copy of an earlier text is one string that starts at all its places but the last few
+    n = F.octet_length("raw")
+    copy = (F.col("d") > F.col("__d")) & (n >= length)
+    whole = own.join(verdict, "th").select(
+        "id", "raw", F.when(copy, F.array(F.lit(0))).otherwise(F.col("first")).alias("first"),
+        F.when(copy, F.array(n - F.lit(length))).otherwise(F.col("last")).alias("last"))
+    return whole.mapInArrow(cut, schema).withColumnRenamed("id", doc_id)
 
 
 __all__ = ["GRAM", "gram_hashes", "sliding", "anchors", "shared_places", "contexts", "smallest_documents", "interval_documents", "covered",
