@@ -48,6 +48,7 @@ GRAM = 24
 MOST_CONTEXTS = 4_000
 BLOCK_BYTES = 1 << 20
 SHARD_CONTEXTS = 600
+SMALL_TABLE = 50_000  # anchors in a table that may be broadcast
 LAST = 2 ** 63 - 1  # the place of null ids
 
 
@@ -163,6 +164,8 @@ def interval_documents(distinct: DataFrame, length: int) -> DataFrame:
     counted = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("context") + 1).alias("bytes"))
     counted = written(counted, "anchor-counts")
     crowded = counted.filter(F.col("n") > MOST_CONTEXTS).select("anchor")
+    if crowded.count() <= SMALL_TABLE:
+        crowded = F.broadcast(crowded)
     total = counted.filter(F.col("n") <= MOST_CONTEXTS).agg(F.sum("bytes")).first()[0] or 0
     blocks = -(-total // BLOCK_BYTES) or 1
 
