@@ -129,7 +129,9 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     gone = written(removals(docs, doc_id, text, min_chars), "removals").withColumnsRenamed({"d": "__d", "th": "__th", "removed": "__gone"})
     rows = docs.join(gone, F.col(doc_id).cast("long").eqNullSafe(F.col("__d")) & (F.xxhash64(text) == F.col("__th")), "left")
     n = F.coalesce(F.size(split_lines(F.col(text))), F.lit(0))
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), n - 1), F.col("__gone")), lambda i: F.get(split_lines(F.col(text)), i))
+    left = F.array_except(F.sequence(F.lit(0), n - 1), F.col("__gone"))
+    # the text is split once, not once for each line that is left
+    kept = F.transform(F.array(split_lines(F.col(text))), lambda lines: F.transform(left, lambda i: F.get(lines, i)))[0]
     return rows.select(*docs.columns, n.cast("long").alias("__lines"), F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("__removed"),
                        F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")).alias("__kept")) \
         .withColumn(text, F.col("__kept")).drop("__kept")
