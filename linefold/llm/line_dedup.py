@@ -1,10 +1,12 @@
 """Line dedup: exact copies and lines one edit apart, by a deletion-neighbourhood
 join. DataFrame operations only.
 
-A line of at least ``min_chars`` characters is removed where an equal line, or
-one within one edit (a character inserted, deleted or replaced), occurs
-earlier in the corpus, by document id and line number. Lines are judged on the
-input, not on what is left.
+A line that holds a character other than white space, of whatever length, is
+removed where an equal line, or one within one edit (a character inserted,
+deleted or replaced), occurs earlier in the corpus, by document id and line
+number. Lines of one character are no copies of other such lines: an edit that
+leaves nothing of a line says nothing. Lines are judged on the input, not on
+what is left. ``min_chars`` leaves shorter lines alone, if a caller asks.
 
 Near lines are found among distinct lines by their variants, the line without
 one character:
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 
 from linefold.llm.common import written
 
-MIN_CHARS = 50
+MIN_CHARS = 1  # no line is too short
 LAST = "9223372036854775808"  # in the order of ids: after every bigint
 
 
@@ -46,12 +48,12 @@ def split_lines(text: Column) -> Column:
 
 
 def occurrences(docs: DataFrame, doc_id: str, text: str, min_chars: int) -> DataFrame:
-    """(d, th, line_no, line, h1, h2, at): lines long enough, with two hashes
-    and their place in the corpus' order."""
+    """(d, th, line_no, line, h1, h2, at): lines long enough and not blank, with
+    two hashes and their place in the corpus' order."""
     rows = docs.select(F.col(doc_id).cast("long").alias("d"), F.xxhash64(text).alias("th"), F.posexplode(split_lines(F.col(text))).alias("line_no", "line"))
     at = (F.coalesce(F.col("d").cast("decimal(20,0)"), F.lit(LAST).cast("decimal(20,0)")) * F.lit("4294967296").cast("decimal(10,0)")
           + F.col("line_no").cast("decimal(10,0)")).cast("decimal(38,0)")
-    return rows.filter(F.length("line") >= min_chars).select(
+    return rows.filter((F.length("line") >= min_chars) & F.col("line").rlike(r"\S")).select(
         "d", "th", "line_no", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"), at.alias("at"))
 
 
@@ -67,9 +69,9 @@ def contexts(line: str, size: str) -> Column:
         return f"""transform(sequence(0, int(ceil({n} / {width})) - 1), j -> named_struct(
             'own', {str(own).lower()},
             'ctx', xxhash64({n}, j, substring({line}, 1, j * {width}), '|', substring({line}, (j + 1) * {width} + {more + 1})),
-            'block', substring({line}, j * {width} + 1, {width} + {more})))"""
+            'block', substring({line}, j * {width} + 1, {width} + {more}), 'whole', char_length({line})))"""
 
-    return F.expr(f"concat({blocks(True)}, {blocks(False)})")
+    return F.expr(f"if(char_length({line}) > 1, concat({blocks(True)}, {blocks(False)}), {blocks(True)})")  # no line is shorter than one character
 
 
 def halves(line: str) -> list[Column]:
@@ -96,8 +98,9 @@ def near_lines(docs: DataFrame, distinct: DataFrame, doc_id: str, text: str, min
     cut = lines.select("h1", "h2", "at", F.explode(contexts("line", "ceil(sqrt(n))")).alias("c")).select("h1", "h2", "at", "c.*")
     met = cut.groupBy("ctx").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("own")).filter("n > 1 and own").select("ctx")
     kept = cut.join(met, "ctx", "left_semi")
+    # a line of one character has no variant but the empty one
     without = "transform(sequence(1, char_length(block)), p -> named_struct('kind', '{0}', 'key', xxhash64(ctx, {1}, concat(substring(block, 1, p - 1), substring(block, p + 1)))))"
-    keys = F.when(F.col("own"), F.expr(f"concat({without.format('replaced', 'p')}, array(named_struct('kind', 'shorter', 'key', xxhash64(ctx, 0, block))))")) \
+    keys = F.when(F.col("own"), F.expr(f"concat(if(whole > 1, {without.format('replaced', 'p')}, array()), array(named_struct('kind', 'shorter', 'key', xxhash64(ctx, 0, block))))")) \
         .otherwise(F.expr(without.format("longer", "0")))
     variants = written(kept.select("at", F.explode(keys).alias("v")).select("at", "v.*"), "variants")
     least = variants.groupBy("key").agg(*[F.min(F.when(F.col("kind") == k, F.col("at"))).alias(k) for k in ("replaced", "shorter", "longer")])

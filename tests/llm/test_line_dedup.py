@@ -74,3 +74,34 @@ def test_edges(spark, edge_docs, no_docs):
 def test_rows_with_equal_id_and_text_are_treated_alike(spark):
     text = prose(1, 40)
     assert {r["__removed"] for r in L.dedup_lines(documents(spark, [(1, text), (1, text)])).collect()} == {0}
+
+
+def test_lines_of_every_length_are_judged(spark):
+    base = prose(5, 20, 99).strip()[:50]
+    assert len(base) == 50
+    docs = documents(spark, [
+        (1, "\n".join(["MIT License.", "}", "ab", " ", "", base])),
+        (2, "\n".join(["MIT License.", "}", "{", "abc", " ", "", base[:-1]])),  # 49 characters beside 50
+        (3, "\n".join(["MIT Licence.", "a", "\t", "}", "Other.", "Other."])),
+    ])
+    got = {r["doc_id"]: (r["text"], r["__removed"]) for r in L.dedup_lines(docs).collect()}
+    assert got[1] == ("\n".join(["MIT License.", "}", "ab", " ", "", base]), 0)
+    assert got[2] == ("\n".join(["{", " ", ""]), 4)
+    assert got[3] == ("\n".join(["\t", "Other."]), 4)
+
+
+def test_short_lines_equal_brute_force(spark):
+    r = random.Random(12)
+    rows = [(k, "\n".join("".join(r.choice("aéb 1") for _ in range(r.choice([0, 1, 1, 2, 3, 5, 7, 11, 12]))) for _ in range(4))) for k in range(60)]
+    places = {}
+    for d, t in rows:
+        for k, line in enumerate(t.split("\n")):
+            if line.strip():
+                places[line] = min((d, k), places.get(line, (d, k)))
+    same = lambda x, y, at: y != x and at < places[x] and near(x, y) and len(x) + len(y) > 2
+    want = []
+    for d, t in rows:
+        lines = t.split("\n")
+        left = [x for k, x in enumerate(lines) if not x.strip() or (places[x] == (d, k) and not any(same(x, y, at) for y, at in places.items()))]
+        want.append((d, "\n".join(left), len(lines) - len(left)))
+    assert found(documents(spark, rows)) == sorted(want, key=str)
