@@ -6,7 +6,8 @@ line breaks, one after the other. Words repeat, so each worker remembers the
 ids of the words it has met (a bounded number) and asks the tokenizer for new
 ones only; a new word of Latin letters, digits and ASCII marks is split by the
 pattern here, and the tokenizer's model merges the parts not met before. Texts with white space other than single blanks and line breaks
-between words take a slower way with the same result.
+between words take a slower way with the same result, and so do texts that hold the string of
+an added token, such as ``<|endoftext|>``.
 """
 
 from __future__ import annotations
@@ -34,14 +35,19 @@ ALPHABET = dict(zip([b for b in range(256) if b not in PRINTABLE], range(256, 51
 class Encoder:
     """Texts to ids, little-endian unsigned 32-bit.
 
-    path: a tokenizers JSON file of a byte-level BPE.
+    path: a tokenizers JSON file of a byte-level BPE. as_text: whether the
+    strings of special tokens in a text are ordinary text; if not, they get
+    the tokens' ids, as the tokenizer gives by default.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, as_text: bool = True) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = as_text
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: strings that the tokenizer looks for before it splits a text
+        self.added = None if as_text or not added else re.compile("|".join(map(re.escape, added)))
         self.parts: dict[str, bytes] = {}
         self.plain = Words(self, "")
         self.spaced = Words(self, " ")
@@ -68,6 +74,8 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if self.added and self.added.search(text):
+            return self.ids(text)
         plain, spaced = self.plain, self.spaced.__getitem__
         words = text.split()
         if len(text) - len("".join(words)) == len(words) - 1 == text.count(" ") + text.count("\n"):
@@ -103,10 +111,10 @@ class Words(dict):
 
 
 def encoder(path: str) -> Encoder:
-    """This worker's encoder of a vocabulary."""
+    """This worker's encoder of a vocabulary, with the tokenizer's defaults."""
     kept = worker_cache("encoders")
     if path not in kept:
-        kept[path] = Encoder(path)
+        kept[path] = Encoder(path, as_text=False)
     return kept[path]
 
 

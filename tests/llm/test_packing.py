@@ -94,3 +94,14 @@ def test_a_hot_length_is_ranked_in_salted_groups(spark, monkeypatch):
         sequences[r["sequence_id"]].append((r["offset"], r["length"]))
     gapless(sequences, 256)
     assert sum(map(len, sequences.values())) == 100 and len(sequences) == -(-100 // (256 // rows[0]["length"]))
+
+
+def test_strings_of_added_tokens_get_the_plain_calls_ids(spark):
+    plain = Tokenizer.from_file(TOKENIZER)
+    texts = ["a<|endoftext|> b", "<|endoftext|>", "one\n<|endoftext|>\u00a0two " + prose(1, 30), "<|endoftext| >", prose(2, 30)]
+    assert 50256 in plain.encode(texts[0], add_special_tokens=False).ids
+    want = []
+    for k, text in enumerate(texts):
+        ids = np.array(plain.encode(text, add_special_tokens=False).ids + [0], "<u4")
+        want.append((k, 0, 0, len(ids), zlib.crc32(ids.tobytes())))
+    assert sorted(tuple(r)[:5] for r in P.pack(documents(spark, list(enumerate(texts))), TOKENIZER, capacity=2048).collect()) == want
