@@ -9,8 +9,10 @@ met for the first time are scored in full, and reading stops when the bound
 (the best score that a row not yet met can have, from the list values at the
 current depth) is below the query's kth score. A bound equal to the kth score
 does not stop it: an unmet row might tie and have the smaller id. Depths
-double, so a query costs few passes; where the lists run out, every row has
-been met. The best k of each cell are merged per query; that is exact, as each
+double, so a query costs few passes. Once more than half of the shard's rows
+are met, the rest is scored as well instead of reading on, and the query has
+cost a full product with the shard; where the lists run out, every row has
+been met, too. The best k of each cell are merged per query; that is exact, as each
 cell's are.
 
 Nulls and edge cases: vectors that are null, empty or hold a null or
