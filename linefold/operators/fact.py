@@ -50,9 +50,10 @@ FACT_TYPES = {
 }
 
 
-def fact_schema(run_col: str = "load_run") -> str:
-    """DDL of the fact table, the column of the pass included."""
-    return ", ".join(f"`{c}` {FACT_TYPES.get(c, 'string')}" for c in FACT_COLUMNS) + f", `{run_col}` string"
+def fact_schema(run_col: str | None = "load_run") -> str:
+    """DDL of the fact table, the column of the pass (if it has one) included."""
+    columns = [f"`{c}` {FACT_TYPES.get(c, 'string')}" for c in FACT_COLUMNS]
+    return ", ".join(columns + ([f"`{run_col}` string"] if run_col else []))
 
 
 def fact_select(df: DataFrame, columns=FACT_COLUMNS) -> DataFrame:
@@ -94,14 +95,20 @@ def promo_lookup(promo: DataFrame, since: dt.date | None) -> DataFrame:
 def build_results(staged: DataFrame, guarantees: DataFrame, art: DataFrame, pref: DataFrame,
                   emp: DataFrame, promo: DataFrame, shop: DataFrame, fact: DataFrame,
                   since: dt.date | None, marketplace_type: str = K.MARKETPLACE_TYPE,
-                  lookback_days: int = K.FACT_LOOKBACK_DAYS) -> DataFrame:
-    """D30 (with D21, D22, D28, D29): accepted new lines with all lookups."""
+                  lookback_days: int = K.FACT_LOOKBACK_DAYS, accepted: DataFrame | None = None) -> DataFrame:
+    """D30 (with D21, D22, D28, D29): accepted new lines with all lookups.
+
+    ``accepted`` are the accepted lines of ``staged`` if they have been worked
+    out already (``rejects.accepted_lines``); the lookups are not joined then.
+    """
     g = guarantees.select(F.col("order_date").alias("__g_d"), F.col("combiordernumber").alias("__g_c"),
                           F.col("ordernumber").alias("__g_o"), "order_qty_guarantee")
-    s = staged.join(g, (F.col("order_date") == F.col("__g_d")) & (F.col("combiordernumber") == F.col("__g_c"))
-                    & (F.col("ordernumber") == F.col("__g_o")), "left")
-    s = append_new_only(s, fact, since, lookback_days=lookback_days)
-    acc = accept_lines(s, art, emp, shop, marketplace_type)
+    s = staged if accepted is None else accepted
+    s = s.join(g, (F.col("order_date") == F.col("__g_d")) & (F.col("combiordernumber") == F.col("__g_c"))
+               & (F.col("ordernumber") == F.col("__g_o")), "left")
+    acc = append_new_only(s, fact, since, lookback_days=lookback_days)
+    if accepted is None:
+        acc = accept_lines(acc, art, emp, shop, marketplace_type)
     pr = pref.select(F.col("home_store_id").alias("__p_h"), F.col("cust_no").alias("__p_c"),
                      F.col("month_id").alias("__p_m"), F.col("store_id").alias("store_pref")).distinct()
     acc = acc.join(pr, (F.col("customerHomeStoreNumber") == F.col("__p_h")) & (F.col("customernumber") == F.col("__p_c"))
@@ -128,6 +135,54 @@ def build_results(staged: DataFrame, guarantees: DataFrame, art: DataFrame, pref
         "order_qty_guarantee")
 
 
+#: bytes of order numbers up to which the keys of one pass are broadcast
+KEY_BYTES = 16 << 20
+
+
+def keyed_originals(fact: DataFrame, results: DataFrame, materialize=None) -> DataFrame:
+    """The fact rows whose order a line of ``results`` is a backorder of; no
+    others can be an original (D37-D39).
+
+    The keys of a pass are written and measured: their range is a plain filter
+    that prunes files and row groups of a fact kept in order of order number,
+    and the rest is a semi-join, broadcast if the keys take at most
+    ``KEY_BYTES``, so the fact itself is neither aggregated nor shuffled whole.
+    """
+    keys = (materialize or written)(results.select(original_key("ordernumber").alias("__key")).dropna().distinct(), "original_keys")
+    size = keys.agg(F.count(F.lit(1)).alias("n"), F.min("__key").alias("lo"), F.max("__key").alias("hi"),
+                    F.sum(F.octet_length("__key") + 64).alias("bytes")).first()
+    if not size["n"]:
+        return fact.filter(F.lit(False))
+    few = F.broadcast(keys) if size["bytes"] <= KEY_BYTES else keys
+    rows = fact.filter(F.col("ordernumber").between(size["lo"], size["hi"]))
+    return rows.join(few, F.col("ordernumber") == F.col("__key"), "left_semi")
+
+
+#: days of a stage up to which they are broadcast (a century)
+MOST_DAYS = 36_525
+
+
+def stage_days(staged: DataFrame, materialize=None) -> DataFrame:
+    """The order dates of the staged lines, retried rejects included."""
+    return (materialize or written)(staged.select(F.col("order_date").alias("__day")).dropna().distinct(), "days")
+
+
+def for_days(dated: DataFrame, days: DataFrame, date_col: str = "date_of_day") -> DataFrame:
+    """The rows of a dated lookup whose day is among ``days``.
+
+    On a table partitioned by day only those days are read: first and last day
+    are literals, the days between are a dynamic partition filter from the
+    broadcast of ``days``, whose number is checked.
+    """
+    size = days.agg(F.count(F.lit(1)).alias("n"), F.min("__day").alias("lo"), F.max("__day").alias("hi")).first()
+    if not size["n"]:
+        return dated.filter(F.lit(False))
+    lo, hi = lit_date(size["lo"]), lit_date(size["hi"])
+    some = days.filter(F.col("__day").between(lo, hi))
+    some = F.broadcast(some) if size["n"] <= MOST_DAYS else some
+    return dated.filter(F.col(date_col).between(lo, hi)).join(some, F.col(date_col) == F.col("__day"), "left_semi")
+
+
 def _originals(fact: DataFrame, since_long: dt.date | None,
                types=K.ORIGINAL_FULFILMENT_TYPES) -> DataFrame:
     f = fact.filter((dash_parts("ordernumber") == 2) & F.col("fulfillmenttype").isin(list(types))
@@ -154,18 +209,19 @@ def load_fact(staged: DataFrame, fact: DataFrame, art: DataFrame, pref: DataFram
               since_long: dt.date | None, promo_since: dt.date | None = None,
               marketplace_type: str = K.MARKETPLACE_TYPE,
               correction_start: dt.date = K.EMPLOYEE_CORRECTION_START, tz: str = K.PARIS,
-              materialize=None) -> DataFrame:
+              materialize=None, accepted: DataFrame | None = None) -> DataFrame:
     """The rows to append to the fact (45 columns).
 
     ``results`` feeds four branches (guarantee block, corrections, final
     select), so it is computed once: ``materialize(df, name)`` writes it and
     reads it back, by default under the session's checkpoint folder.
+    ``accepted``: as in ``build_results``.
     """
     materialize = materialize or written
     cat = guarantee_articles(art)
     guarantees = guarantees_per_order(staged, cat)
     promos = promo_lookup(promo, since if promo_since is None else promo_since)
-    results = build_results(staged, guarantees, art, pref, emp, promos, shop, fact, since, marketplace_type)
+    results = build_results(staged, guarantees, art, pref, emp, promos, shop, fact, since, marketplace_type, accepted=accepted)
     results = materialize(results, "results")
     offered = offered_options(results)
     ordered = ordered_guarantees(results, cat)
@@ -176,10 +232,11 @@ def load_fact(staged: DataFrame, fact: DataFrame, art: DataFrame, pref: DataFram
     alloc = allocate_running(under, ordered, guarantee_qty_per_order(ordered)).select(
         F.col("order_date").alias("__a_d"), F.col("ordernumber").alias("__a_o"),
         F.col("pk_article").alias("__a_p"), "qty_guarantee_adjusted_sold")
-    ol = original_lines(fact, since_long).select(
+    originals = keyed_originals(fact, results, materialize)
+    ol = original_lines(originals, since_long).select(
         F.col("ordernumber").alias("__ol_o"), F.col("pk_article").alias("__ol_p"),
         F.col("affected_employee").alias("__ol_emp"), F.col("order_quantity").alias("__ol_qty"))
-    oo = original_orders(fact, since_long).select(
+    oo = original_orders(originals, since_long).select(
         F.col("ordernumber").alias("__oo_o"), F.col("order_date").alias("__oo_d"),
         F.col("deliveryDate").alias("__oo_dd"))
     r = results.withColumn("__key", original_key("ordernumber"))
@@ -215,4 +272,4 @@ def load_fact(staged: DataFrame, fact: DataFrame, art: DataFrame, pref: DataFram
 
 
 __all__ = ["FACT_COLUMNS", "fact_schema", "fact_select", "recent_fact", "append_new_only", "promo_lookup",
-           "build_results", "original_orders", "original_lines", "load_fact"]
+           "build_results", "keyed_originals", "stage_days", "for_days", "original_orders", "original_lines", "load_fact"]

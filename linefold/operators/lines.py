@@ -248,13 +248,13 @@ def fsd_lines(fsd: DataFrame, since: dt.date | None = None,
     """
     creation = F.col("creationTime")
     o = fsd.filter(feed_window(creation, TS, since, min_date))
-    ranked_src = fsd.filter(feed_window(creation, TS, since, min_date, fallback_since=False))
-    # Rank on the rank-source rows, rank-1 keys joined back to the feed rows.
-    best = lowest_revision(ranked_src, ["combiordernumber", "ordernumber"],
+    # Rows whose day is only known from their load time are kept but not ranked.
+    best = lowest_revision(o, ["combiordernumber", "ordernumber"],
                            [F.col("revision").asc(), F.col(TS).asc()],
                            match=["ordernumber", "combiordernumber", "status",
                                   "fulfillingStoreNumber", "revision", TS],
-                           null_safe=["combiordernumber"], rows=o)
+                           null_safe=["combiordernumber"],
+                           ranked=feed_window(creation, TS, since, min_date, fallback_since=False))
     x = explode_lines(best, pos="__pos")
     g = x.groupBy(
         F.coalesce(F.col("combiordernumber"), F.col("ordernumber")).alias("combiordernumber"),
@@ -373,7 +373,7 @@ def options_per_article(web: DataFrame, drop: DataFrame, since: dt.date | None =
     """
     def one(df: DataFrame, feed: int) -> DataFrame:
         if since is not None:
-            df = df.filter(F.to_date(F.col(TS)) >= lit_date(since))
+            df = df.filter(F.col(TS) >= lit_ts(dt.datetime.combine(since, dt.time())))  # pushed to the scan
         x = df.select("combiordernumber", "ordernumber", F.explode_outer("items").alias("item"))
         x = x.select("combiordernumber", "ordernumber", F.col("item.articleId").alias("articleId"),
                      F.explode_outer("item.articledata.serviceoptions").alias("opt"))

@@ -7,7 +7,7 @@ kept; ``null_as_reject=True`` puts it with the rejects).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from linefold.functions import constants as K
@@ -48,24 +48,72 @@ def _shop_ok(marketplace_type: str) -> Column:
     return (F.col("fulfillmenttype") != marketplace_type) | F.col("__shop").isNotNull()
 
 
+def _reasons(marketplace_type: str) -> list[tuple[Column, str]]:
+    """The tests a line can fail, in the order in which they count."""
+    return [(F.col("__art").isNull(), K.REASON_ARTICLE),
+            (F.col("affected_employee").isNotNull() & F.col("__emp_upn").isNull(), K.REASON_EMPLOYEE),
+            ((F.col("fulfillmenttype") == marketplace_type) & F.col("__shop").isNull(), K.REASON_SHOP)]
+
+
+def _first_reason(reasons: list[tuple[Column, str]]) -> Column:
+    return F.coalesce(*[F.when(cond, F.lit(text)) for cond, text in reasons])
+
+
+def _as_rejects(lines: DataFrame, reason: Column) -> DataFrame:
+    out = (lines.withColumn("reject_insert", F.coalesce(F.col("reject_insert"), F.col("gcp_insert")))
+           .withColumn("comments", reason))
+    return stage_select(out, REJECT_COLUMNS)
+
+
 def reject_lines(staged: DataFrame, art: DataFrame, emp: DataFrame, shop: DataFrame,
                  marketplace_type: str = K.MARKETPLACE_TYPE, null_as_reject: bool = False) -> DataFrame:
     """Lines failing a lookup, with the first reason that holds; the
     first reject time of a retried line is kept."""
     j = lookup_joins(staged, art, emp, shop)
-    missing_art = F.col("__art").isNull()
-    missing_emp = F.col("affected_employee").isNotNull() & F.col("__emp_upn").isNull()
-    missing_shop = (F.col("fulfillmenttype") == marketplace_type) & F.col("__shop").isNull()
-    reason = (F.when(missing_art, F.lit(K.REASON_ARTICLE))
-              .when(missing_emp, F.lit(K.REASON_EMPLOYEE))
-              .when(missing_shop, F.lit(K.REASON_SHOP)))
-    cond = missing_art | missing_emp | missing_shop
+    reasons = _reasons(marketplace_type)
+    cond = reasons[0][0] | reasons[1][0] | reasons[2][0]
     if null_as_reject:
         cond = F.coalesce(cond, F.lit(True))
-    out = (j.filter(cond)
-           .withColumn("reject_insert", F.coalesce(F.col("reject_insert"), F.col("gcp_insert")))
-           .withColumn("comments", reason))
-    return stage_select(out, REJECT_COLUMNS)
+    return _as_rejects(j.filter(cond), _first_reason(reasons))
+
+
+ACCEPTED, REJECTED, NEITHER = "accepted", "rejected", "neither"
+
+
+def judge_lines(staged: DataFrame, art: DataFrame, emp: DataFrame, shop: DataFrame,
+                marketplace_type: str = K.MARKETPLACE_TYPE, null_as_reject: bool = False) -> DataFrame:
+    """D20 and D21 in one pass: every staged line with its lookups, the
+    ``verdict`` (accepted, rejected or, where both tests are null, neither) and
+    the ``reason`` of a rejected one. Each lookup is joined once; write the
+    result and read both outputs from it."""
+    j = lookup_joins(staged, art, emp, shop)
+    reasons = _reasons(marketplace_type)
+    ok = F.col("__art").isNotNull() & _employee_ok() & _shop_ok(marketplace_type)
+    bad = F.lit(False)
+    for cond, _ in reasons:
+        bad = bad | cond
+    if null_as_reject:
+        bad = F.coalesce(bad, F.lit(True))
+    verdict = F.when(ok, ACCEPTED).when(bad, REJECTED).otherwise(NEITHER)
+    return j.select("*", verdict.alias("verdict"), F.when(verdict == REJECTED, _first_reason(reasons)).alias("reason"))
+
+
+def accepted_lines(judged: DataFrame) -> DataFrame:
+    """The accepted lines of ``judge_lines``, as ``accept_lines`` gives them."""
+    return judged.filter(F.col("verdict") == ACCEPTED).drop("verdict", "reason")
+
+
+def rejected_lines(judged: DataFrame) -> DataFrame:
+    """The rejected lines of ``judge_lines``, as ``reject_lines`` gives them."""
+    return _as_rejects(judged.filter(F.col("verdict") == REJECTED), F.col("reason"))
+
+
+def counted(judged: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """``judged`` with an observation: when it is written, the numbers of
+    accepted, rejected and other lines and of all are known without a scan."""
+    watch = Observation(name)
+    kinds = [F.count_if(F.col("verdict") == v).alias(v) for v in (ACCEPTED, REJECTED, NEITHER)]
+    return judged.observe(watch, *kinds, F.count(F.lit(1)).alias("lines")), watch
 
 
 def accept_lines(staged: DataFrame, art: DataFrame, emp: DataFrame, shop: DataFrame,
@@ -77,4 +125,5 @@ def accept_lines(staged: DataFrame, art: DataFrame, emp: DataFrame, shop: DataFr
     return j.filter(_employee_ok() & _shop_ok(marketplace_type))
 
 
-__all__ = ["REJECT_COLUMNS", "reject_schema", "lookup_joins", "reject_lines", "accept_lines"]
+__all__ = ["REJECT_COLUMNS", "reject_schema", "lookup_joins", "reject_lines", "accept_lines", "judge_lines",
+           "accepted_lines", "rejected_lines", "counted", "ACCEPTED", "REJECTED", "NEITHER"]

@@ -64,21 +64,27 @@ def top_by_priority(df: DataFrame, partition: Sequence[str | Column],
 
 def lowest_revision(df: DataFrame, partition: Sequence[str], order: Sequence[Column],
                     match: Sequence[str], null_safe: Sequence[str] = (),
-                    rows: DataFrame | None = None) -> DataFrame:
-    """Rows matching a rank-1 row of ``df`` (lowest revision, then time).
-
-    The rank-1 rows of ``df`` are joined back to ``rows`` (default ``df``) on
-    ``match``; keys in ``null_safe`` compare with COALESCE(k, '') so null
-    equals ''. Other null keys never match, and equal keys fan out, as in the
-    original.
+                    ranked: Column | None = None) -> DataFrame:
+    """Rows matching a rank-1 row (lowest revision, then time).
+
+    The original ranks the rows that satisfy ``ranked`` (default all) and joins
+    the rank-1 rows back to all rows on ``match``, whose ``null_safe`` keys
+    compare null as ''. Other null keys never match, and equal keys fan out.
+    Here both sides are one: a window ranks, a second one counts the rank-1
+    rows among the rows of equal ``match`` keys, and a row comes out that many
+    times. The rows are dealt once, by the partition keys that must not be
+    null, which serves both windows: one scan, one shuffle, no join.
     """
-    rows = df if rows is None else rows
-    best = top_rank(df, partition, order).select(*[F.col(m).alias("__m_" + m) for m in match])
-    cond = None
-    for m in match:
-        left, right = F.col(m), F.col("__m_" + m)
-        if m in null_safe:
-            left, right = F.coalesce(left, F.lit("")), F.coalesce(right, F.lit(""))
-        c = left == right
-        cond = c if cond is None else cond & c
-    return rows.join(best, cond, "inner").drop(*["__m_" + m for m in match])
+    must = [m for m in match if m not in null_safe]
+    dealt = [p for p in partition if p in must]
+    flag = F.lit(True) if ranked is None else F.coalesce(ranked, F.lit(False))
+    rows = df.dropna(subset=dealt).withColumn("__lf_in", flag) if dealt else df.withColumn("__lf_in", flag)
+    if dealt:
+        rows = rows.repartition(*dealt)
+    first = F.rank().over(Window.partitionBy(*partition).orderBy(F.col("__lf_in").desc(), *order)) == 1
+    best = rows.withColumn("__lf_best", (first & F.col("__lf_in")).cast("int"))
+    same = [F.coalesce(F.col(m), F.lit("")) if m in null_safe else F.col(m) for m in match]
+    times = F.sum("__lf_best").over(Window.partitionBy(*same))
+    out = best.dropna(subset=must).withColumn("__lf_times", times).filter(F.col("__lf_times") > 0)
+    again = F.explode(F.sequence(F.lit(1), F.col("__lf_times").cast("int")))
+    return out.select("*", again.alias("__lf_again")).drop("__lf_in", "__lf_best", "__lf_times", "__lf_again")

@@ -54,13 +54,25 @@ def overwrite(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> s
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written under the session's checkpoint folder and read back:
-    computed once for several readers, lineage cut."""
+    computed once for several readers, lineage cut. The files are read lazily,
+    so they stay until ``remove_scratch``."""
     spark = df.sparkSession
-    path = os.path.join(checkpoint_root(spark), "linefold-work", f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(scratch(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return read_table(spark, path, df.schema)
 
 
+def scratch(spark: SparkSession) -> str:
+    """The folder of this application's scratch tables."""
+    return os.path.join(checkpoint_root(spark), "linefold-work", spark.sparkContext.applicationId)
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the tables that ``written`` made in this application; for when
+    the results that read them have been used."""
+    remove(spark, scratch(spark))
+
+
 def assert_unique(df: DataFrame, keys: tuple[str, ...], name: str) -> DataFrame:
     """``df``, or an error if a lookup has two rows for a key (a join to it
     would multiply lines)."""
@@ -70,29 +82,45 @@ def assert_unique(df: DataFrame, keys: tuple[str, ...], name: str) -> DataFrame:
     return df
 
 
-def replace_partitions(df: DataFrame, path: str, columns: tuple[str, ...], partition_by: tuple[str, ...]) -> str:
+def replace_partitions(df: DataFrame, path: str, columns: tuple[str, ...], partition_by: tuple[str, ...],
+                       cluster_by: tuple[str, ...] = ()) -> str:
     """S9, idempotent: the rows of ``df``, by name, in place of what the
-    partitions that they fall in hold. Rows are rebalanced on the partition
-    columns first, so Spark sizes the files by bytes, whatever a day holds."""
-    out = df.select(*columns).hint("rebalance", *[F.col(c) for c in partition_by])
+    partitions that they fall in hold.
+
+    Without ``cluster_by`` rows are rebalanced on the partition columns, so
+    Spark sizes the files by bytes, whatever a day holds. With it they are dealt
+    by range of partition and ``cluster_by`` columns and sorted by them: the
+    files of a partition hold disjoint ranges, and so do the row groups of a
+    file, so a lookup by the first of them reads few by their statistics. The
+    ranges are found by a sample, so ``df`` should be a table, not a long plan.
+    """
+    out = df.select(*columns)
+    if cluster_by:
+        order = [F.col(c) for c in (*partition_by, *cluster_by)]
+        out = out.repartitionByRange(*order).sortWithinPartitions(*order)
+    else:
+        out = out.hint("rebalance", *[F.col(c) for c in partition_by])
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
     return path
 
 
 def append_run(df: DataFrame, path: str, columns: tuple[str, ...], run_id: str,
-               partition_by: tuple[str, ...] = ("order_date",), run_col: str = "load_run") -> str:
-    """S9, idempotent: append the rows of one pass under ``run_col=run_id``.
+               partition_by: tuple[str, ...] = ("order_date",), run_col: str = "load_run",
+               cluster_by: tuple[str, ...] = ()) -> str:
+    """S9, idempotent: append the rows of one pass under ``run_col=run_id``,
+    clustered as in ``replace_partitions``.
 
     Re-running a pass after a failure replaces exactly the partitions
     (``partition_by``, ``run_col``) of that pass, so the fact never holds a
     pass twice; other passes' partitions are untouched.
     """
     run = df.select(*columns).withColumn(run_col, F.lit(run_id))
-    return replace_partitions(run, path, (*columns, run_col), (*partition_by, run_col))
+    return replace_partitions(run, path, (*columns, run_col), (*partition_by, run_col), cluster_by)
 
 
 def compact(spark: SparkSession, path: str, schema: StructType | str, columns: tuple[str, ...], before: dt.date,
-            date_col: str = "order_date", run_col: str = "load_run", run_id: str = "compacted") -> int:
+            date_col: str = "order_date", run_col: str = "load_run", run_id: str = "compacted",
+            cluster_by: tuple[str, ...] = ()) -> int:
     """Put the passes of each closed day (before ``before``) into one folder;
     returns the number of folders removed.
 
@@ -107,7 +135,7 @@ def compact(spark: SparkSession, path: str, schema: StructType | str, columns: t
     beside = path.rstrip("/") + "-compacting"
     rows = closed.filter(F.col(date_col).isin([r[date_col] for r in days]))
     rows.write.mode("overwrite").parquet(beside)
-    append_run(read_table(spark, beside, schema), path, columns, run_id, (date_col,), run_col)
+    append_run(read_table(spark, beside, schema), path, columns, run_id, (date_col,), run_col, cluster_by)
     old = [f"{path}/{date_col}={r[date_col]}/{run_col}={x}" for r in days for x in r["runs"] if x != run_id]
     remove(spark, *old, beside)
     return len(old)
@@ -125,6 +153,31 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, in one step for readers: written beside its place and renamed."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place, beside = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    fs = place.getFileSystem(conf)
+    out = fs.create(beside, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    fs.delete(place, False)
+    if not fs.rename(beside, place):
+        raise OSError(f"cannot rename {beside} to {place}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(conf).open(place)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def remove(spark: SparkSession, *paths: str) -> None:
     """Delete folders (Hadoop file system of the session)."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
@@ -134,4 +187,4 @@ def remove(spark: SparkSession, *paths: str) -> None:
 
 
 __all__ = ["read_table", "read_window", "overwrite", "written", "assert_unique", "replace_partitions", "append_run", "compact",
-           "version_path", "exists", "remove"]
+           "version_path", "exists", "remove", "remove_scratch", "read_text", "write_text"]
