@@ -6,6 +6,7 @@ import gc
 import sys
 import types
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +48,18 @@ def worker_cache(name: str) -> dict:
     return holder.__dict__.setdefault(name, {})
 
 
+def under_own_names(docs: DataFrame, work: Callable[..., DataFrame], **columns: str) -> DataFrame:
+    """The rows of ``docs`` that ``work`` gives, columns as they came.
+
+    ``work`` gets ``docs`` with neutral column names, so that no column of the
+    caller can meet one of its own, and under their keywords the names that
+    ``columns`` have there. What it adds is dropped.
+    """
+    names = [f"__c{k}" for k in range(len(docs.columns))]
+    at = dict(zip(docs.columns, names))
+    return work(docs.toDF(*names), **{k: at.get(c, c) for k, c in columns.items()}).select(*names).toDF(*docs.columns)
+
+
 def sum_of(cols: list[Column]) -> Column:
     out = cols[0]
     for c in cols[1:]:
@@ -54,4 +67,4 @@ def sum_of(cols: list[Column]) -> Column:
     return out
 
 
-__all__ = ["written", "table", "fold", "worker_cache", "sum_of"]
+__all__ = ["written", "table", "fold", "worker_cache", "under_own_names", "sum_of"]

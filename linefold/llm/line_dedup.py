@@ -37,7 +37,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linefold.llm.common import written
+from linefold.llm.common import under_own_names, written
 
 MIN_CHARS = 1  # no line is too short
 LAST = "9223372036854775808"  # in the order of ids: after every bigint
@@ -145,10 +145,13 @@ def keep_unique_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     """``docs`` with their lines deduplicated, ``n_chars`` (if there is such a
     column) recounted where lines went; a document of which nothing but white
     space is left is dropped."""
-    rows = dedup_lines(docs, doc_id, text, min_chars)
-    if n_chars in docs.columns:
-        rows = rows.withColumn(n_chars, F.when(F.col("__removed") > 0, F.length(text)).otherwise(F.col(n_chars)).cast(docs.schema[n_chars].dataType))
-    return rows.filter((F.col("__removed") == 0) | F.col(text).rlike(r"\S")).select(*docs.columns)
+    def work(d: DataFrame, doc_id: str, text: str, n_chars: str) -> DataFrame:
+        rows = dedup_lines(d, doc_id, text, min_chars)
+        if n_chars in d.columns:
+            rows = rows.withColumn(n_chars, F.when(F.col("__removed") > 0, F.length(text)).otherwise(F.col(n_chars)).cast(d.schema[n_chars].dataType))
+        return rows.filter((F.col("__removed") == 0) | F.col(text).rlike(r"\S"))
+
+    return under_own_names(docs, work, doc_id=doc_id, text=text, n_chars=n_chars)
 
 
 __all__ = ["MIN_CHARS", "occurrences", "contexts", "near_lines", "removals", "dedup_lines", "keep_unique_lines"]

@@ -33,7 +33,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linefold.llm.common import written
+from linefold.llm.common import under_own_names, written
 
 BITS = 4  # halvings of the exponent's interval that one pass over the sources decides
 HALVINGS = 40
@@ -124,10 +124,13 @@ def mix(docs: DataFrame, entropy: float | None = None, max_repeats: float | None
     return whole_blocks.select(*docs.columns, "__copies").unionByName(last_block.select(*docs.columns, "__copies"))
 
 
-def mixed(docs: DataFrame, **targets) -> DataFrame:
+def mixed(docs: DataFrame, source: str = "source", doc_id: str = "doc_id", text: str = "text", **targets) -> DataFrame:
     """The rows of ``docs``, each as often as the mix reads it."""
-    rows = mix(docs, **targets).filter("__copies > 0")
-    return rows.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__copies").cast("int")))).drop("__copies", "__copy")
+    def work(d: DataFrame, **columns: str) -> DataFrame:
+        rows = mix(d, **columns, **targets).filter("__copies > 0")
+        return rows.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__copies").cast("int"))))
+
+    return under_own_names(docs, work, source=source, doc_id=doc_id, text=text)
 
 
 __all__ = ["estimated_tokens", "source_totals", "bisect_exponent", "weights", "mix", "mixed"]

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linefold.llm.common import written
+from linefold.llm.common import under_own_names, written
 from linefold.llm.textstats import word_counts
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
@@ -136,16 +136,16 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", sourc
     ``base_failed``, ``kept`` and the ``reason`` of a rejection."""
     drop = {*COUNTS, "base_failed", "kept", "reason"}
     keep = [c for c in (docs.columns if keep is None else keep) if c not in drop]
-    rows = written(annotate(docs, text, keep), "quality")
-    return judge(rows, thresholds(rows.filter(~base_failed()), lang, source), lang, source)
+    names = [f"__k{k}" for k in range(len(keep))]  # a fence of the thresholds may have the name of a column
+    own = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], F.col(text).alias("__text"), F.col(lang).alias("__of_lang"), F.col(source).alias("__of_source"))
+    rows = written(annotate(own, "__text", [*names, "__of_lang", "__of_source"]), "quality")
+    judged = judge(rows, thresholds(rows.filter(~base_failed()), "__of_lang", "__of_source"), "__of_lang", "__of_source")
+    return judged.select(*[F.col(n).alias(c) for c, n in zip(keep, names)], *COUNTS, "base_failed", "kept", "reason")
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """The rows of ``docs`` that the rules keep, columns as they came."""
-    names = [f"__c{k}" for k in range(len(docs.columns))]  # whatever the columns are called
-    at = dict(zip(docs.columns, names))
-    judged = quality_rules(docs.toDF(*names), at[text], at[lang], at[source])
-    return judged.filter("kept").select(*names).toDF(*docs.columns)
+    return under_own_names(docs, lambda d, **at: quality_rules(d, **at).filter("kept"), text=text, lang=lang, source=source)
 
 
 __all__ = ["annotate", "base_failed", "sketches", "quantiles", "thresholds", "judge", "quality_rules", "keep_good"]

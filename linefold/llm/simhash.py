@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linefold.llm.common import written
+from linefold.llm.common import under_own_names, written
 
 SEED = 42
 BLOCK = 65_536  # hashes whose bits are counted at once
@@ -164,11 +164,14 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
     """``docs`` with one row of each group: that of the smallest id (null ids
     last; of rows with the same id, any one)."""
-    rows = written(with_fingerprint(docs, text, shingle, "__fp").withColumn("__row", F.monotonically_increasing_id()), "rows")
-    # nulls last: min over structs takes a null field first
-    order = F.struct(F.col(doc_id).isNull().alias("n"), F.col(doc_id).alias("d"), F.col("__row").alias("row"))
-    found = group_by_fingerprint(rows.select(F.col("__fp").alias("fp"), F.col(doc_id), "__row"), order, radius)
-    return rows.join(found.select(F.col("low.row").alias("__row")).distinct(), "__row", "left_semi").select(*docs.columns)
+    def work(d: DataFrame, doc_id: str, text: str) -> DataFrame:
+        rows = written(with_fingerprint(d, text, shingle, "__fp").withColumn("__row", F.monotonically_increasing_id()), "rows")
+        # nulls last: min over structs takes a null field first
+        order = F.struct(F.col(doc_id).isNull().alias("n"), F.col(doc_id).alias("d"), F.col("__row").alias("row"))
+        found = group_by_fingerprint(rows.select(F.col("__fp").alias("fp"), F.col(doc_id), "__row"), order, radius)
+        return rows.join(found.select(F.col("low.row").alias("__row")).distinct(), "__row", "left_semi")
+
+    return under_own_names(docs, work, doc_id=doc_id, text=text)
 
 
 __all__ = ["fingerprint", "masks", "links", "components", "near_dedup", "keep_one"]
