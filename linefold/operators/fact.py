@@ -229,7 +229,7 @@ def load_fact(staged: DataFrame, fact: DataFrame, art: DataFrame, pref: DataFram
     corr = correct_guarantee_employee(ordered, under).select(
         F.col("order_date").alias("__c_d"), F.col("ordernumber").alias("__c_o"),
         F.col("pk_article").alias("__c_p"), "affected_employee_corrected")
-    alloc = allocate_running(under, ordered, guarantee_qty_per_order(ordered)).select(
+    alloc = allocate_running(under, ordered, guarantee_qty_per_order(ordered), materialize).select(
         F.col("order_date").alias("__a_d"), F.col("ordernumber").alias("__a_o"),
         F.col("pk_article").alias("__a_p"), "qty_guarantee_adjusted_sold")
     originals = keyed_originals(fact, results, materialize)

@@ -16,6 +16,15 @@ from pyspark.sql import functions as F
 
 from linefold.functions import constants as K
 from linefold.operators.versions import top_rank
+from linefold.sources.tables import written
+
+
+#: combined ids of the catalogue up to which they are a literal set
+MOST_IDS = 1_000
+#: articles of an order up to which one task adds them up
+MOST_ARTICLES = 100_000
+#: ranges of articles that the others are dealt into
+RANGES = 64
 
 
 def guarantee_articles(art: DataFrame, numbers: Iterable[int] = K.GUARANTEE_ARTICLE_NUMBERS) -> DataFrame:
@@ -33,14 +42,21 @@ def guarantees_per_order(staged: DataFrame, cat: DataFrame, store: int = K.GUARA
         F.sum("order_quantity").alias("order_qty_guarantee"))
 
 
-def articles_offered_guarantee(staged: DataFrame, cat: DataFrame) -> DataFrame:
+def articles_offered_guarantee(staged: DataFrame, cat: DataFrame, most: int = MOST_IDS) -> DataFrame:
     """Distinct lines having an option that is a guarantee's combined id.
 
-    The output keeps line columns only and is distinct, so a semi-join gives
-    the same rows as the inner join + DISTINCT without multiplying each
-    option by every guarantee sharing its combined id.
+    The output keeps line columns only and is distinct. The catalogue's
+    combined ids are counted first: up to ``most`` of them are a literal set
+    that a predicate looks for inside the array, row by row, with no explode
+    and no join (the one exchange left is that of DISTINCT). Beyond that a
+    semi-join gives the same rows as the inner join + DISTINCT without
+    multiplying each option by every guarantee sharing its combined id.
     """
     cols = ["order_date", "combiordernumber", "ordernumber", "affected_employee", "articleid", "order_quantity"]
+    ids = [r[0] for r in cat.select("combinedarticleid").dropna().distinct().limit(most + 1).collect()]
+    if len(ids) <= most:
+        has = F.exists("id_options", lambda op: op.try_cast("bigint").isin(ids))
+        return staged.filter(F.coalesce(has, F.lit(False)) if ids else F.lit(False)).select(*cols).distinct()
     x = staged.select(*cols, F.explode("id_options").alias("__op"))
     j = x.join(cat.select(F.col("combinedarticleid").alias("__g_cid")),
                F.col("__g_cid") == F.col("__op").try_cast("bigint"), "left_semi")
@@ -74,13 +90,11 @@ def guarantee_sales(offered: DataFrame, ordered: DataFrame) -> DataFrame:
 
 def offered_options(results: DataFrame) -> DataFrame:
     """One row per line of an order (kind 1) and option that is a number."""
-    x = results.filter(F.col("type_cmd") == 1).select(
-        "order_date", "ordernumber", F.explode_outer("id_options").alias("__op"), "combinedarticleid",
-        "pk_article", "order_quantity", "order_qty_guarantee", "affected_employee")
-    x = x.withColumn("id_option", F.col("__op").try_cast("bigint")).drop("__op")
-    return x.filter(F.col("id_option").isNotNull()).select(
-        "order_date", "ordernumber", "id_option", "combinedarticleid", "pk_article", "order_quantity",
-        "order_qty_guarantee", "affected_employee")
+    # what is no number goes before the explode
+    numbers = F.filter(F.transform("id_options", lambda op: op.try_cast("bigint")), lambda n: n.isNotNull())
+    return results.filter(F.col("type_cmd") == 1).select(
+        "order_date", "ordernumber", F.explode(numbers).alias("id_option"), "combinedarticleid", "pk_article",
+        "order_quantity", "order_qty_guarantee", "affected_employee")
 
 
 def ordered_guarantees(results: DataFrame, cat: DataFrame) -> DataFrame:
@@ -120,7 +134,45 @@ def guarantee_qty_per_order(ordered: DataFrame) -> DataFrame:
     return ordered.groupBy("ordernumber").agg(F.sum("order_quantity").alias("qty_guar_tot"))
 
 
-def allocate_running(under: DataFrame, ordered: DataFrame, totals: DataFrame) -> DataFrame:
+def running_sum(rows: DataFrame, group: str, order: str, value: str, out: str, materialize=None,
+                most: int = MOST_ARTICLES, ranges: int = RANGES) -> DataFrame:
+    """``rows`` with ``out``: the exact sum of ``value`` over the group's rows up
+    to the row's ``order`` (N6: RANGE, rows of equal order count together,
+    nulls first).
+
+    Groups of up to ``most`` rows are one window. The others are dealt into
+    ``ranges`` ranges of ``order`` (quantiles over all their rows; equal values
+    are in one range), each summed by a window of its own, and the totals of
+    the ranges before are added: a group of any size is many tasks and a
+    window over at most ``ranges`` rows.
+    """
+    exact = rows.withColumn("__v", F.col(value).cast("decimal(28,9)"))
+    frame = Window.orderBy(F.col(order).asc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def added(df: DataFrame, *keys: str) -> DataFrame:
+        return df.withColumn("__sum", F.sum("__v").over(frame.partitionBy(*keys)))
+
+    exact = (materialize or written)(exact, "running")
+    large = exact.groupBy(F.col(group).alias("__g")).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > most).select("__g")
+    large = (materialize or written)(large, "large_groups")
+    if large.isEmpty():
+        return added(exact, group).withColumn(out, F.col("__sum")).drop("__v", "__sum")
+    same = F.col(group).eqNullSafe(F.col("__g"))
+    usual, hot = exact.join(large, same, "left_anti"), exact.join(large, same, "left_semi")
+    cuts = hot.agg(F.percentile_approx(order, [k / ranges for k in range(1, ranges)] or [1.0], 4 * ranges)).first()[0] or []
+    place = F.size(F.filter(F.array(*[F.lit(c) for c in sorted(set(cuts))]), lambda c: c < F.col(order)))
+    hot = hot.withColumn("__range", F.when(F.col(order).isNull(), F.lit(-1)).otherwise(place) if cuts else F.lit(0))
+    totals = hot.groupBy(F.col(group).alias("__g"), F.col("__range").alias("__r")).agg(F.sum("__v").alias("__t"))
+    before = F.sum("__t").over(Window.partitionBy("__g").orderBy("__r").rowsBetween(Window.unboundedPreceding, -1))
+    totals = totals.withColumn("__before", before)
+    hot = added(hot, group, "__range").join(totals, same & (F.col("__range") == F.col("__r")))
+    # a sum of nulls only is null, as in the window
+    hot = hot.withColumn("__sum", F.coalesce(F.col("__before") + F.col("__sum"), F.col("__before"), F.col("__sum")))
+    return (added(usual, group).select(*rows.columns, F.col("__sum").alias(out))
+            .unionByName(hot.select(*rows.columns, F.col("__sum").alias(out))))
+
+
+def allocate_running(under: DataFrame, ordered: DataFrame, totals: DataFrame, materialize=None) -> DataFrame:
     """Running allocation of guarantees over the covered articles.
 
     Per (date, order, article): the largest quantity a guarantee can cover.
@@ -134,10 +186,8 @@ def allocate_running(under: DataFrame, ordered: DataFrame, totals: DataFrame) ->
     o = j.groupBy("order_date", "ordernumber", "pk_article").agg(
         F.max(F.when(F.col("__g_qty") - F.col("order_quantity") >= 0, F.col("order_quantity"))
               .otherwise(F.lit(0.0))).alias("max_gar_possible"))
-    o = o.join(totals, "ordernumber")
-    w = (Window.partitionBy("ordernumber").orderBy(F.col("pk_article").asc())
-         .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    fits = F.coalesce(F.col("qty_guar_tot"), F.lit(0.0)) - F.sum("max_gar_possible").over(w) >= 0
+    o = running_sum(o.join(totals, "ordernumber"), "ordernumber", "pk_article", "max_gar_possible", "__upto", materialize)
+    fits = F.coalesce(F.col("qty_guar_tot"), F.lit(0.0)).cast("decimal(28,9)") - F.col("__upto") >= 0
     return o.select("order_date", "ordernumber", "pk_article",
                     F.when(fits, F.col("max_gar_possible")).otherwise(F.lit(0.0)).cast("double")
                     .alias("qty_guarantee_adjusted_sold"))
@@ -145,4 +195,4 @@ def allocate_running(under: DataFrame, ordered: DataFrame, totals: DataFrame) ->
 
 __all__ = ["guarantee_articles", "guarantees_per_order", "articles_offered_guarantee", "guarantee_sales",
            "offered_options", "ordered_guarantees", "articles_under_guarantee",
-           "correct_guarantee_employee", "guarantee_qty_per_order", "allocate_running"]
+           "correct_guarantee_employee", "guarantee_qty_per_order", "running_sum", "allocate_running"]

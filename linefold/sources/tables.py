@@ -11,9 +11,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import hashlib
 import os
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,6 +121,50 @@ def append_run(df: DataFrame, path: str, columns: tuple[str, ...], run_id: str,
     return replace_partitions(run, path, (*columns, run_col), (*partition_by, run_col), cluster_by)
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str | None) -> Iterator[None]:
+    """A session setting for a while; None leaves it as it is."""
+    before = spark.conf.get(key, None)
+    if value is not None:
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if value is not None and before is None:
+            spark.conf.unset(key)
+        elif value is not None:
+            spark.conf.set(key, before)
+
+
+def bucketed_table(spark: SparkSession, path: str, schema: str, partition_by: tuple[str, ...], bucket_by: str, buckets: int) -> str:
+    """The name of a catalog table over the folder ``path``, its rows dealt
+    into ``buckets`` by ``bucket_by`` and sorted by it within a file.
+
+    Joins on ``bucket_by`` read such a table without a shuffle. The folder is
+    the table: the catalog entry is made where it is missing (a catalog may
+    forget it) and takes up the partitions that are there. Each partition has a
+    file per bucket, and one value's rows are one bucket: for a table of
+    large partitions and of keys none of which is hot.
+    """
+    name = f"linefold_{hashlib.sha256(f'{path} {schema} {buckets}'.encode()).hexdigest()[:16]}"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet PARTITIONED BY ({', '.join(partition_by)}) "
+              f"CLUSTERED BY ({bucket_by}) SORTED BY ({bucket_by}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    if exists(spark, path):
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(name)
+    return name
+
+
+def append_bucketed(df: DataFrame, name: str, run_id: str, run_col: str = "load_run") -> str:
+    """``append_run`` for a table of ``bucketed_table``: the rows of one pass in
+    place of those that its partitions hold."""
+    spark = df.sparkSession
+    rows = df.withColumn(run_col, F.lit(run_id)).select(*spark.table(name).columns)
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):  # insertInto has no such option
+        rows.write.mode("overwrite").insertInto(name)
+    return name
+
+
 def compact(spark: SparkSession, path: str, schema: StructType | str, columns: tuple[str, ...], before: dt.date,
             date_col: str = "order_date", run_col: str = "load_run", run_id: str = "compacted",
             cluster_by: tuple[str, ...] = ()) -> int:
@@ -186,5 +233,6 @@ def remove(spark: SparkSession, *paths: str) -> None:
         folder.getFileSystem(conf).delete(folder, True)
 
 
-__all__ = ["read_table", "read_window", "overwrite", "written", "assert_unique", "replace_partitions", "append_run", "compact",
-           "version_path", "exists", "remove", "remove_scratch", "read_text", "write_text"]
+__all__ = ["read_table", "read_window", "overwrite", "written", "assert_unique", "replace_partitions", "append_run", "bucketed_table",
+           "append_bucketed", "compact",
+           "version_path", "exists", "remove", "remove_scratch", "setting", "read_text", "write_text"]

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from linefold.operators import fact, people, rejects, versions
+from linefold.operators import fact, guarantee, people, rejects, versions
 from linefold.plans import mapping as M
 from linefold.plans import proofs as P
 from linefold.plans import run as R
@@ -54,7 +54,7 @@ def windows(**more):
 
 
 def tables_of(spark, out):
-    return (rows(spark.read.schema(fact.fact_schema()).parquet(out["fact"])),
+    return (rows(spark.read.schema(fact.fact_schema()).parquet(out["fact"]), *fact.FACT_COLUMNS, "load_run"),
             rows(spark.read.schema(rejects.reject_schema()).parquet(out["rejects"])))
 
 
@@ -73,15 +73,15 @@ def test_pass_goes_on_after_any_step(spark, m, inputs, monkeypatch):
             raise Stop
 
     monkeypatch.setattr(Ledger, "finish", breaks)
-    for _ in range(len(lost) + 13 + 1):
+    for _ in range(len(lost) + 15 + 1):
         try:
             out = R.run_orders(spark, inputs, root, *args, fact_seed=P._seed(m), resume=True)
             break
         except Stop:
             pass
     monkeypatch.setattr(Ledger, "finish", real)
-    assert done == ["basket", "employee_counts", "enriched", "stage", "art", "days", "judged", "results", "original_keys",
-                    "fact_new", "fact", "rejects", "pass"]  # each step once
+    assert done == ["basket", "employee_counts", "enriched", "stage", "art", "days", "judged", "results", "running", "large_groups",
+                    "original_keys", "fact_new", "fact", "rejects", "pass"]  # each step once
     assert tables_of(spark, out) == tables_of(spark, plain) and out["counts"] == plain["counts"]
     n = out["counts"]
     assert n["accepted"] + n["rejected"] + n["neither"] == n["lines"] == n["staged"] == spark.read.parquet(out["stage"]).count()
@@ -99,6 +99,59 @@ def test_pass_goes_on_after_any_step(spark, m, inputs, monkeypatch):
         R.run_orders(spark, inputs, root, *args)
 
 
+def test_bucketed_fact_is_the_same_and_is_not_shuffled(spark, m, inputs):
+    args = ("1", M.AS_OF, windows(), None)
+    plain = R.run_orders(spark, inputs, fresh(spark, "files"), *args, fact_seed=P._seed(m))
+    win, root = windows(fact_buckets=4), fresh(spark, "buckets")
+    out = R.run_orders(spark, inputs, root, "1", M.AS_OF, win, None, fact_seed=P._seed(m))
+    for a, b in zip(tables_of(spark, out), tables_of(spark, plain)):
+        assert len(a) == len(b) and next(((x, y) for x, y in zip(a, b) if x != y), None) is None
+    again = R.run_orders(spark, inputs, root, "1", M.AS_OF, win, None)  # replaces its own rows
+    assert tables_of(spark, again) == tables_of(spark, plain)
+    name = S.bucketed_table(spark, root + "/fact", fact.fact_schema(), ("order_month", "load_run"), "ordernumber", 4)
+    old, new = spark.table(name), spark.read.parquet(out["stage"])
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.requireAllClusterKeysForCoPartition")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in zip(keys, ("-1", "-1", "false")):
+        spark.conf.set(k, v)
+    try:
+        duplicates = plan(fact.append_new_only(new, old, None))
+        originals = plan(fact.keyed_originals(old, new).join(new.select("ordernumber"), "ordernumber"))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert before["spark.sql.requireAllClusterKeysForCoPartition"] in (None, "true")
+    assert "Bucketed: true" in duplicates and duplicates.count("Exchange hashpartitioning") == 1  # that of the stage
+    assert "Bucketed: true" in originals and originals.count("Exchange hashpartitioning") == 1
+
+
+def test_options_are_looked_for_in_the_array(spark, m):
+    cat = P._cat(m)
+    small, joined = guarantee.articles_offered_guarantee(m.staged(), cat), guarantee.articles_offered_guarantee(m.staged(), cat, most=0)
+    assert rows(small) == rows(joined) and small.count() > 0
+    p = plan(small)
+    assert "Join" not in p and "Generate" not in p and p.count("Exchange hashpartitioning") == 1
+    assert guarantee.articles_offered_guarantee(m.staged(), cat.filter("pk_article < -1")).count() == 0
+
+
+def test_running_sum_in_two_levels_equals_the_window(spark):
+    import random
+    from pyspark.sql import Window
+    r = random.Random(8)
+    data = [(r.choice(["hot"] * 6 + ["a", "b", None]), r.choice([None, *range(40)]), r.choice([None, 1.0, 2.5, 0.1])) for _ in range(900)]
+    df = spark.createDataFrame(data, "o string, k bigint, v double")
+    w = Window.partitionBy("o").orderBy("k").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    want = rows(df.withColumn("s", F.sum(F.col("v").cast("decimal(28,9)")).over(w)))
+    for most, ranges in ((10_000, 64), (50, 7), (0, 64), (0, 1)):
+        got = guarantee.running_sum(df, "o", "k", "v", "s", most=most, ranges=ranges)
+        assert rows(got) == want, (most, ranges)
+    # a hot group is several tasks: its window is over ranges of the order, too
+    p = plan(guarantee.running_sum(df, "o", "k", "v", "s", most=50, ranges=7))
+    assert "hashpartitioning(o" in p and "__range" in p
+    assert guarantee.running_sum(df.filter("k IS NULL"), "o", "k", "v", "s", most=0).count() == df.filter("k IS NULL").count()
+    assert guarantee.running_sum(df.limit(0), "o", "k", "v", "s", most=0).count() == 0
+
+
 def test_ledger(spark):
     path = fresh(spark, "ledger")
     made = []
