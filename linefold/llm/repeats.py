@@ -21,7 +21,9 @@ and are judged on the input.
    suffix is sorted again, and a block is bounded: an anchor with more than
    ``MOST_CONTEXTS`` distinct contexts is split into the single strings of its
    contexts, whose smallest documents are a plain aggregate, exact as well.
-   An anchor with one context needs no merge.
+   An anchor with one context needs no merge, nor does a context whose bytes
+   around the gram stand in no other context of the anchor, and of the others
+   only the bytes of strings that may be shared are merged (``shared_parts``).
 4. Places whose string has a smaller document are put together per document,
    and the covered bytes removed.
 
@@ -48,6 +50,8 @@ GRAM = 24
 MOST_CONTEXTS = 4_000
 BLOCK_BYTES = 1 << 20
 SHARD_CONTEXTS = 600
+SOME_PLACES = 20_000  # contexts that a task holds at once
+PARTS = 6  # ranges of places of the gram within a string
 SMALL_TABLE = 50_000  # anchors in a table that may be broadcast
 LAST = 2 ** 63 - 1  # the place of null ids
 
@@ -122,23 +126,74 @@ def shared_places(rows: DataFrame, length: int) -> DataFrame:
 def contexts(rows: DataFrame, places: DataFrame, length: int) -> DataFrame:
     """(anchor, d, th, start, context) of each shared anchor's place; places:
     (d, th, places) of the documents to look at."""
+    def batch(b: pa.RecordBatch, held: list[tuple]) -> pa.RecordBatch:
+        row = pa.array(np.repeat([x[0] for x in held], [len(x[1]) for x in held]))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[1] for x in held])), b.column(0).take(row), b.column(1).take(row),
+                                           pa.array(np.concatenate([x[2] for x in held]).astype(np.int32)),
+                                           pa.array([c for x in held for c in x[3]], pa.binary())], names=["anchor", "d", "th", "start", "context"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            places = [np.sort(p.values.to_numpy()) for p in b.column(3)]
-            row = pa.array(np.repeat(np.arange(b.num_rows), [len(p) for p in places]))
-            anchor, starts, cut = [], [], []
-            for t, at in zip(b.column(2).to_pylist(), places):
-                start = np.maximum(at + GRAM - length, 0)
-                anchor.append(gram_hashes(np.frombuffer(t, np.uint8))[at].view(np.int64))
-                starts.append(start.astype(np.int32))
-                cut += [t[s:p + length] for s, p in zip(start.tolist(), at.tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(anchor)), b.column(0).take(row), b.column(1).take(row),
-                                              pa.array(np.concatenate(starts)), pa.array(cut, pa.binary())], names=["anchor", "d", "th", "start", "context"])
+            held: list[tuple] = []
+            for i in range(b.num_rows):
+                text, places = b.column(2)[i].as_py(), np.sort(b.column(3)[i].values.to_numpy())
+                hashes = gram_hashes(np.frombuffer(text, np.uint8))[places].view(np.int64)
+                for k in range(0, len(places), SOME_PLACES):  # nearly every byte of a text of equal bytes is an anchor
+                    at = places[k:k + SOME_PLACES]
+                    start = np.maximum(at + GRAM - length, 0)
+                    held.append((i, hashes[k:k + SOME_PLACES], start, [text[s:p + length] for s, p in zip(start.tolist(), at.tolist())]))
+                    if sum(len(x[3]) for x in held) >= SOME_PLACES:
+                        yield batch(b, held)
+                        held = []
+            if held:
+                yield batch(b, held)
 
     return rows.join(places, ["d", "th"]).select("d", "th", "raw", "places").mapInArrow(
         run, "anchor bigint, d bigint, th bigint, start int, context binary")
 
 
+def shared_parts(texts: np.ndarray, anchor: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per context, where strings that another context of its anchor may hold
+    start: first and last place, the last below the first if there is none.
+    There are false positives, no false negatives.
+
+    A shared string reaches some o bytes before the gram and the rest of
+    ``length`` behind it. The possible o are cut into ``PARTS`` ranges; in a
+    range all strings hold the same bytes around the gram, all but a few, so
+    only ranges of which this core stands in another context count. Contexts
+    cut short by an end of their text are filled up with a byte that no text
+    has; one that holds the gram twice stays whole, and so do its anchor's.
+    """
+    reach = length - GRAM
+    size = np.array([len(t) for t in texts])
+    before = np.full(len(texts), reach)  # bytes before the gram
+    for i in np.flatnonzero(size < length + reach):
+        at = np.flatnonzero(gram_hashes(np.frombuffer(texts[i], np.uint8)) == anchor[i].view(np.uint64))
+        before[i] = at[0] if len(at) == 1 else -1
+    twice = np.isin(anchor, anchor[before < 0])
+    before = np.maximum(before, 0)
+    fill = [b"\xff" * n for n in range(reach + 1)]
+    full = b"".join([fill[reach - n] + t + fill[max(0, n - (m - length))] if m < length + reach else t
+                     for t, n, m in zip(texts, before.tolist(), size.tolist())]) if not twice.any() else None
+    if full is None:
+        rows = np.flatnonzero(~twice)
+        first, last = np.zeros(len(texts), np.int64), size - length
+        if len(rows):
+            first[rows], last[rows] = shared_parts(texts[rows], anchor[rows], length)
+        return first, last
+    cells = np.frombuffer(full, np.uint8).reshape(-1, length + reach)
+    edges = [reach * k // PARTS for k in range(PARTS + 1)]
+    least, most = np.full(len(texts), reach + 1), np.full(len(texts), -1)
+    for low, high in zip(edges, edges[1:]):  # from low to high bytes before the gram
+        core = np.ascontiguousarray(cells[:, reach - low:reach + length - high])
+        _, which, times = np.unique(core.view(f"V{core.shape[1]}").ravel(), return_inverse=True, return_counts=True)
+        shared = times[which] > 1
+        least[shared] = np.minimum(least[shared], low)
+        most[shared] = high
+    # a place in the context; only those that its bytes reach
+    return np.maximum(before - most, 0), np.minimum(before - least, size - length)
+
+
 def smallest_documents(texts: list[bytes], docs: np.ndarray, length: int) -> list[np.ndarray]:
     """For each text, the smallest document of each of its ``length``-byte
     strings, from the repeated intervals of the merged transform."""
@@ -173,9 +228,17 @@ def interval_documents(distinct: DataFrame, length: int) -> DataFrame:
         block["low"] = pd.array(block["d"], dtype="Int64")
         block["lows"] = None
         several = np.flatnonzero(block.duplicated("anchor", keep=False))
+        if len(several):
+            texts = block["context"].to_numpy()[several]
+            first, last = shared_parts(texts, block["anchor"].to_numpy()[several], length)
+            some = first <= last  # the others have all their strings to themselves
+            several, texts, first, last = several[some], texts[some], first[some], last[some]
         if len(several):
             docs = block["d"].to_numpy()[several]
-            lows = smallest_documents([bytes(c) for c in block["context"].to_numpy()[several]], docs, length)
+            parts = [bytes(t[a:b + length]) for t, a, b in zip(texts, first.tolist(), last.tolist())]
+            lows = [np.full(len(t) - length + 1, d) for t, d in zip(texts, docs)]
+            for x, a, low in zip(lows, first.tolist(), smallest_documents(parts, docs, length)):
+                x[a:a + len(low)] = low
             same = [bool((x == x[0]).all()) for x in lows]
             block.loc[block.index[several], "low"] = pd.array([int(x[0]) if s else None for x, s in zip(lows, same)], dtype="Int64")
             column = block["lows"].to_numpy(dtype=object, copy=True)

@@ -60,6 +60,34 @@ def test_edges(spark, edge_docs, no_docs):
     assert R.remove_repeats(no_docs).count() == 0
 
 
+def test_a_very_long_text_of_equal_bytes_is_judged_in_batches(spark, monkeypatch):
+    n = 1_000_000
+    got = found(documents(spark, [(1, "y" * 60), (2, "y" * n), (3, "z" * n), (4, "a" * 30 + "z" * 70)]))
+    assert [x[:4] for x in got] == [(1, 60, 0, 0), (2, n, n, 1), (3, n, 0, 0), (4, 100, 70, 1)] and got[3][4] == b"a" * 30
+    monkeypatch.setattr(R, "SOME_PLACES", 7)
+    rows = rows_with_passages()
+    assert found(documents(spark, rows)) == brute(rows)
+
+
+def test_shareable_parts_hold_every_shared_string():
+    r = random.Random(1)
+    some = lambda n: bytes(r.randrange(97, 123) for _ in range(n))
+    for _ in range(200):
+        gram, left, right = bytes(r.choice(b"ab") for _ in range(24)), some(26), some(26)
+        texts = []
+        for _ in range(8):
+            a, b = r.randrange(27), r.randrange(27)
+            x, y = some(26 - a) + left[26 - a:], right[:b] + (gram[:26 - b] if r.random() < 0.1 else some(26 - b))
+            texts.append((x[r.randrange(26):] if r.random() < 0.3 else x) + gram + (y[:r.randrange(26)] if r.random() < 0.3 else y))
+        texts = [t for t in dict.fromkeys(texts) if len(t) >= 50]
+        anchor = np.full(len(texts), R.gram_hashes(np.frombuffer(gram, np.uint8))[0].view(np.int64))
+        first, last = R.shared_parts(np.array(texts, dtype=object), anchor, 50)
+        for i, t in enumerate(texts):
+            for k in range(len(t) - 49):
+                s = t[k:k + 50]
+                assert first[i] <= k <= last[i] or gram not in s or not any(s in u for j, u in enumerate(texts) if j != i)
+
+
 def test_every_window_has_an_anchor_that_its_bytes_decide():
     rng = np.random.default_rng(0)
     text = rng.integers(0, 3, 400).astype(np.uint8)
