@@ -7,7 +7,8 @@ the rule's; the longest rule (host and path together) wins.
 The method's verdict comes from boosted regression trees on lexical features:
 length, depth, digit ratio, character entropy, parameter count, and the
 labelled block rates of the host's last label and of its whole suffix below
-it. Features are whole numbers from 0 to 31 (fixed steps, so nothing depends
+it. Labelled rows are dealt into folds by url and get the rates of the other
+folds, so the trees cannot read a row's label off its suffix. Features are whole numbers from 0 to 31 (fixed steps, so nothing depends
 on order), equal feature vectors are one weighted training row, and each level
 of a tree is one aggregate: gradient sums per node, feature and step, of which
 the driver sees at most nodes x features x 32 rows. A trained model is a
@@ -35,6 +36,7 @@ ROUNDS = 10
 DEPTH = 3
 RATE = 0.4
 RIDGE = 1.0
+FOLDS = 5  # of the labelled urls, for rates that do not see their own rows
 PRIOR_WEIGHT = 10.0  # rows' worth of overall rate in a suffix's rate
 SMALL_TABLE = 50_000  # rows of a suffix table that may be broadcast
 
@@ -166,13 +168,32 @@ def fit(train: DataFrame, rounds: int = ROUNDS, depth: int = DEPTH, rate: float
     return start, trees
 
 
-def rates(labelled: DataFrame, key: str) -> DataFrame:
-    """(key, step): smoothed block rate of each value of ``key``."""
-    per = labelled.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum("blocked").alias("b"))
-    whole = per.agg(F.sum("n").alias("all_n"), F.sum("b").alias("all_b")).first()
-    n, b = whole["all_n"] or 0, whole["all_b"] or 0
-    overall = F.lit(b / n if n else 0.5)
-    return per.select(F.col(key).alias(f"{key}_of"), _step((F.col("b") + PRIOR_WEIGHT * overall) / (F.col("n") + PRIOR_WEIGHT), 1 / STEPS).alias(f"{key}_step"))
+def rates(labelled: DataFrame, folds: int = FOLDS) -> DataFrame:
+    """(key, fold, step) of labelled rows (key, fold, blocked): the smoothed
+    block rate of each key without the rows of the fold, and with all rows
+    under fold -1. A row that a tree learns from so never sees its own label."""
+    per = written(labelled.groupBy("key", "fold").agg(F.count(F.lit(1)).alias("n"), F.sum("blocked").alias("b")), "rates")
+    whole = per.groupBy("key").agg(F.sum("n").alias("all_n"), F.sum("b").alias("all_b"))
+    seen = {r["fold"]: (r["n"], r["b"]) for r in per.groupBy("fold").agg(F.sum("n").alias("n"), F.sum("b").alias("b")).collect()}  # folds rows
+    n, b = (sum(x[i] for x in seen.values()) for i in (0, 1))
+    overall = {f: (b - seen.get(f, (0, 0))[1], n - seen.get(f, (0, 0))[0]) for f in (-1, *range(folds))}
+    rate = F.create_map(*[F.lit(x) for f, (y, z) in overall.items() for x in (f, y / z if z else 0.5)])[F.col("fold")]
+    out = per.join(whole, "key").select("key", "fold", (F.col("all_n") - F.col("n")).alias("n"), (F.col("all_b") - F.col("b")).alias("b"))
+    both = out.unionByName(whole.select("key", F.lit(-1).alias("fold"), F.col("all_n").alias("n"), F.col("all_b").alias("b")))
+    return both.select("key", "fold", _step((F.col("b") + PRIOR_WEIGHT * rate) / (F.col("n") + PRIOR_WEIGHT), 1 / STEPS).alias("step"))
+
+
+def with_rates(rows: DataFrame, key: str, folds: int = FOLDS) -> DataFrame:
+    """``rows`` (``key``_key, fold, blocked: null if not labelled) with the step
+    of the key's rate as ``key``; an unknown key has the middle step."""
+    own = F.col(f"{key}_key")
+    of = written(rates(rows.filter("blocked IS NOT NULL").select(own.alias("key"), "fold", "blocked"), folds), "rate-steps")
+    of = of.select(F.col("key").alias("__of"), F.col("fold").alias("__f"), F.col("step").alias("__step"))
+    if of.count() <= SMALL_TABLE:
+        of = F.broadcast(of)
+    seen = F.when(F.col("blocked").isNull(), F.lit(-1)).otherwise(F.col("fold"))
+    return (rows.join(of, (own == F.col("__of")) & (seen == F.col("__f")), "left")
+            .withColumn(key, F.coalesce("__step", F.lit(STEPS // 2))).drop("__of", "__f", "__step"))
 
 
 def judge(pages: DataFrame, rules: list[Rule], page_id: str = "page_id", url: str = "url") -> DataFrame:
@@ -183,17 +204,12 @@ def judge(pages: DataFrame, rules: list[Rule], page_id: str = "page_id", url: st
     rows = (pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"))
             .select("page_id", "url", host.alias("host"), path.alias("path"))
             .select("*", longest_rule(rules, F.col("host"), F.col("path")).alias("ruled"), *[c.alias(f"{k}_key") for k, c in suffixes(F.col("host")).items()])
-            .select("page_id", "host", "path", "ruled", "top_key", "suffix_key", *[c.alias(k) for k, c in lexical("url").items()]))
-    rows = written(rows, "urls")
-    labelled = rows.filter("ruled is not null").withColumn("blocked", (F.col("ruled.verdict") == "block").cast("long"))
-    full = rows
+            .select("page_id", "host", "path", "ruled", "top_key", "suffix_key", F.pmod(F.xxhash64("url"), F.lit(FOLDS)).cast("int").alias("fold"),
+                    *[c.alias(k) for k, c in lexical("url").items()]))
+    full = written(rows, "urls").withColumn("blocked", (F.col("ruled.verdict") == "block").cast("long"))
     for key in ("top", "suffix"):
-        of = written(rates(labelled.withColumnRenamed(f"{key}_key", "k"), "k"), "rates")
-        if of.count() <= SMALL_TABLE:
-            of = F.broadcast(of)
-        full = full.join(of, F.col(f"{key}_key") == F.col("k_of"), "left").withColumn(key, F.coalesce("k_step", F.lit(STEPS // 2))).drop("k_of", "k_step")
-    train = full.filter("ruled is not null").groupBy(*FEATURES).agg(
-        F.count(F.lit(1)).alias("n"), F.sum((F.col("ruled.verdict") == "block").cast("long")).alias("blocked"))
+        full = with_rates(full, key)
+    train = full.filter("blocked IS NOT NULL").groupBy(*FEATURES).agg(F.count(F.lit(1)).alias("n"), F.sum("blocked").alias("blocked"))
     model = fit(written(train, "url-train"))
     odds = F.lit(-30.0) if model is None else sum_of([F.lit(model[0]), *[column_of(t) for t in model[1]]])
     return full.withColumn("score", 1 / (1 + F.exp(-odds))).select(
@@ -201,4 +217,4 @@ def judge(pages: DataFrame, rules: list[Rule], page_id: str = "page_id", url: st
         F.coalesce("ruled.verdict", F.when(F.col("score") >= 0.5, "block").otherwise("allow")).alias("verdict"), "score")
 
 
-__all__ = ["Rule", "host_and_path", "longest_rule", "lexical", "suffixes", "FEATURES", "Split", "column_of", "fit", "rates", "judge"]
+__all__ = ["Rule", "host_and_path", "longest_rule", "lexical", "suffixes", "FEATURES", "Split", "column_of", "fit", "rates", "with_rates", "judge"]

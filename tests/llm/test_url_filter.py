@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -59,6 +60,78 @@ def test_trees_learn_lexical_differences(spark):
     assert df.filter((odds > 0) == (F.col("y") == 1)).count() >= 390
 
 
+def plain_boost(rows, rounds, depth=U.DEPTH, rate=U.RATE, ridge=U.RIDGE):
+    """Boosted trees one row at a time: rows of (features, y), every cut tried."""
+    b = sum(y for _, y in rows)
+    start = math.log(b / (len(rows) - b))
+    odds = [start] * len(rows)
+    trees = []
+
+    def leaf(part):
+        return sum(g[i] for i in part) / (sum(h[i] for i in part) + ridge)
+
+    def gain_of(part):
+        return sum(g[i] for i in part) ** 2 / (sum(h[i] for i in part) + ridge)
+
+    def grow(part, left):
+        best = (1e-6, None)
+        if left:
+            for f in range(len(U.FEATURES)):
+                for at in sorted({rows[i][0][f] for i in part})[:-1]:
+                    halves = [[i for i in part if (rows[i][0][f] <= at) == side] for side in (True, False)]
+                    gain = gain_of(halves[0]) + gain_of(halves[1]) - gain_of(part)
+                    if gain > best[0] + 1e-9:
+                        best = (gain, (f, at, halves))
+        if best[1] is None:
+            return rate * leaf(part)
+        f, at, (low, high) = best[1]
+        return U.FEATURES[f], at, grow(low, left - 1), grow(high, left - 1)
+
+    def value(tree, x):
+        return tree if not isinstance(tree, tuple) else value(tree[2] if x[U.FEATURES.index(tree[0])] <= tree[1] else tree[3], x)
+
+    for _ in range(rounds):
+        p = [1 / (1 + math.exp(-o)) for o in odds]
+        g, h = [y - q for (_, y), q in zip(rows, p)], [q * (1 - q) for q in p]
+        trees.append(grow(list(range(len(rows))), depth))
+        odds = [o + value(trees[-1], x) for o, (x, _) in zip(odds, rows)]
+    return start, trees
+
+
+def test_trees_equal_plain_boosting(spark):
+    r = random.Random(12)
+    rows = []
+    for _ in range(160):
+        x = tuple(r.randrange(r.choice([2, 5, 32])) for _ in U.FEATURES)
+        rows.append((x, int(r.random() < (0.8 if x[0] > 2 and x[3] < 4 else 0.2))))
+    df = spark.createDataFrame([(*x, y) for x, y in rows], ", ".join(f"{f} int" for f in (*U.FEATURES, "y")))
+    start, trees = U.fit(df.groupBy(*U.FEATURES).agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("blocked")).cache(), rounds=3)
+    want_start, want = plain_boost(rows, 3)
+
+    def same(a, b):
+        if not isinstance(b, tuple):
+            return a == pytest.approx(b, abs=1e-9)
+        return (a.feature, a.at) == b[:2] and same(a.left, b[2]) and same(a.right, b[3])
+
+    assert start == pytest.approx(want_start) and len(trees) == 3 and all(map(same, trees, want))
+
+
+def test_rates_do_not_see_their_own_fold(spark):
+    r = random.Random(3)
+    data = [(r.choice(["a", "b", "c", "", None]), r.randrange(3), r.choice([0, 1, None])) for _ in range(300)] + [("one", 0, 1), ("new", 1, None)]
+    got = U.with_rates(spark.createDataFrame(data, "top_key string, fold int, blocked long"), "top", folds=3).collect()
+
+    def step(key, fold, blocked):
+        seen = [(k, b) for k, f, b in data if b is not None and (blocked is None or f != fold)]
+        own = [b for k, b in seen if k == key]
+        if key is None or not any(k == key and b is not None for k, _, b in data):
+            return U.STEPS // 2
+        rate = (sum(own) + U.PRIOR_WEIGHT * sum(b for _, b in seen) / len(seen)) / (len(own) + U.PRIOR_WEIGHT)
+        return min(U.STEPS - 1, int(rate * U.STEPS + 1e-9))
+
+    assert len(got) == len(data) and all(x["top"] == step(x["top_key"], x["fold"], x["blocked"]) for x in got)
+
+
 def test_without_labelled_urls(spark):
     none = U.judge(pages(spark, ["http://a.net/x", None]), RULES).collect()
     assert {r["verdict"] for r in none} == {"allow"}
