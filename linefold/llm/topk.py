@@ -9,10 +9,8 @@ met for the first time are scored in full, and reading stops when the bound
 (the best score that a row not yet met can have, from the list values at the
 current depth) is below the query's kth score. A bound equal to the kth score
 does not stop it: an unmet row might tie and have the smaller id. Depths
-double, so a query costs few passes. Once more than half of the shard's rows
-are met, the rest is scored as well instead of reading on, and the query has
-cost a full product with the shard; where the lists run out, every row has
-been met, too. The best k of each cell are merged per query; that is exact, as each
+double, so a query costs few passes. Reading ends early for one more reason
+only: no row is unmet. The best k of each cell are merged per query; that is exact, as each
 cell's are.
 
 Nulls and edge cases: vectors that are null, empty or hold a null or
@@ -60,13 +58,11 @@ def best_of(q: np.ndarray, x: np.ndarray, order: np.ndarray, banned: int, k: int
     depth, at = FIRST_DEPTH, 0
     while True:
         depth = min(depth, n)
-        if len(used):
-            met = np.zeros(n, bool)
-            met[order[n - depth:n - at, used[up]]] = True
-            met[order[at:depth, used[~up]]] = True
-        if not len(used) or depth == n or 2 * np.count_nonzero(seen | met) > n:
-            met = np.ones(n, bool)  # most of the lists is read: read them to the end
-            depth = n
+        met = np.zeros(n, bool)
+        met[order[n - depth:n - at, used[up]]] = True
+        met[order[at:depth, used[~up]]] = True
+        if not len(used):
+            met[:] = True  # a query of zeros: all scores are equal
         new = np.flatnonzero(met & ~seen)
         seen[new] = True
         if banned >= 0:
@@ -78,7 +74,7 @@ def best_of(q: np.ndarray, x: np.ndarray, order: np.ndarray, banned: int, k: int
             rows, scores = rows[scores >= kth], scores[scores >= kth]
             best = np.lexsort((ties[rows], -scores))[:k]
             rows, scores = rows[best], scores[best]
-        if depth == n:
+        if seen.all():
             return rows[np.lexsort((ties[rows], -scores))]
         if len(rows) == k:
             edge = np.where(up, x[order[n - depth, used], used], x[order[depth - 1, used], used])
