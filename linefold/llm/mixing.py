@@ -97,31 +97,65 @@ def _hash(*parts: Column | str) -> Column:
     return F.md5(F.concat_ws("/", *parts).cast("binary"))
 
 
-def mix(docs: DataFrame, entropy: float | None = None, max_repeats: float | None = None, budget: int | None = None,
-        source: str = "source", doc_id: str = "doc_id", text: str = "text", seed: int = 0) -> DataFrame:
-    """The rows of ``docs`` with ``__copies``, the number of times each is read (may be 0)."""
+def block_order(seed: int, source: Column, block: Column, epoch: Column) -> Column:
+    """The hash by which an epoch's permutation orders the blocks of a source."""
+    name = F.when(epoch == 0, F.lit(str(seed))).otherwise(F.concat_ws(".", F.lit(str(seed)), epoch.cast("string")))
+    return _hash(name, F.coalesce(source, F.lit("")), block.cast("string"))
+
+
+def dealt(docs: DataFrame, entropy: float | None = None, max_repeats: float | None = None, budget: int | None = None,
+          source: str = "source", doc_id: str = "doc_id", text: str = "text", seed: int = 0) -> DataFrame:
+    """The rows of ``docs`` with __source, __block, __hash, __tokens, __whole
+    (permutations of the source) and __copies."""
     rows = docs.withColumns({"__source": F.col(source).cast("string"), "__tokens": estimated_tokens(F.col(text)),
                              "__hash": _hash(F.lit(str(seed)), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))})
     sources = source_totals(rows.select("__source", "__tokens"))
     of = written(weights(sources, bisect_exponent(sources, entropy, max_repeats), budget).select(
-        F.col("__source").alias("__of"), F.ceil(F.sqrt("rows")).cast("int").alias("__blocks"), "whole", "part"), "weights")
+        F.col("__source").alias("__of"), F.ceil(F.sqrt("rows")).cast("int").alias("__blocks"), F.col("whole").alias("__whole"), F.col("part").alias("__part")), "weights")
     if of.count() <= SMALL_TABLE:
         of = F.broadcast(of)
     number = F.conv(F.substring("__hash", 1, 7), 16, 10).cast("int")
     rows = rows.join(of, F.col("__source").eqNullSafe(F.col("__of"))).withColumn("__block", F.pmod(number, F.col("__blocks")))
     key = ["__source", "__block"]
-    sums = rows.groupBy(*key).agg(F.sum("__tokens").alias("t"), F.first("part").alias("part"))
-    order = Window.partitionBy("__source").orderBy(_hash(F.lit(str(seed)), F.coalesce("__source", F.lit("")), F.col("__block").cast("string")), "__block")
+    sums = rows.groupBy(*key).agg(F.sum("__tokens").alias("t"), F.first("__part").alias("part"))
+    order = Window.partitionBy("__source").orderBy(block_order(seed, F.col("__source"), F.col("__block"), F.lit(0)), "__block")
     blocks = written(sums.withColumn("upto", F.sum("t").over(order)).select(
         F.col("__source").alias("__s"), F.col("__block").alias("__b"), (F.col("upto") - F.col("t")).alias("__before"), (F.col("upto") <= F.col("part")).alias("__full")), "blocks")
     if blocks.count() <= SMALL_TABLE:
         blocks = F.broadcast(blocks)
     rows = rows.join(blocks, F.col("__source").eqNullSafe(F.col("__s")) & (F.col("__block") == F.col("__b")))
-    cut = ~F.col("__full") & (F.col("__before") < F.col("part"))
+    cut = ~F.col("__full") & (F.col("__before") < F.col("__part"))
     within = Window.partitionBy(*key).orderBy("__hash", "__tokens").rowsBetween(Window.unboundedPreceding, 0)
-    whole_blocks = rows.filter(~cut).withColumn("__copies", F.col("whole") + F.col("__full").cast("long"))
-    last_block = rows.filter(cut).withColumn("__copies", F.col("whole") + (F.col("__before") + F.sum("__tokens").over(within) <= F.col("part")).cast("long"))
-    return whole_blocks.select(*docs.columns, "__copies").unionByName(last_block.select(*docs.columns, "__copies"))
+    whole_blocks = rows.filter(~cut).withColumn("__copies", F.col("__whole") + F.col("__full").cast("long"))
+    last_block = rows.filter(cut).withColumn("__copies", F.col("__whole") + (F.col("__before") + F.sum("__tokens").over(within) <= F.col("__part")).cast("long"))
+    return whole_blocks.unionByName(last_block).select(*docs.columns, "__source", "__block", "__hash", "__tokens", "__whole", "__copies")
+
+
+def mix(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs`` with ``__copies``, the number of times each is read
+    (may be 0); arguments as in ``dealt``."""
+    return dealt(docs, **how).select(*docs.columns, "__copies")
+
+
+def readings(docs: DataFrame, seed: int = 0, **how) -> DataFrame:
+    """Each reading of each row of ``docs``, with its place in the mix:
+    ``__epoch`` (0 the part of a permutation, then the whole ones),
+    ``__rank`` (of the block in the epoch's permutation of the source's blocks)
+    and ``__place`` (in the block), all from the result of ``dealt``. A source
+    is read in the order of these three."""
+    rows = dealt(docs, seed=seed, **how)
+    last = F.col("__whole").cast("int")
+    blocks = rows.groupBy("__source", "__block").agg(F.max(last).alias("__last"))
+    blocks = blocks.select(F.col("__source").alias("__s"), F.col("__block").alias("__b"), F.explode(F.sequence(F.lit(0), "__last")).alias("__e"))
+    order = Window.partitionBy("__s", "__e").orderBy(block_order(seed, F.col("__s"), F.col("__b"), F.col("__e")), "__b")
+    ranks = written(blocks.withColumn("__rank", F.row_number().over(order)), "block-ranks")
+    if ranks.count() <= SMALL_TABLE:
+        ranks = F.broadcast(ranks)
+    place = F.row_number().over(Window.partitionBy("__source", "__block").orderBy("__hash", "__tokens"))
+    first = F.when(F.col("__copies") > F.col("__whole"), 0).otherwise(1)
+    read = rows.withColumn("__place", place).filter("__copies > 0").withColumn("__epoch", F.explode(F.sequence(first, last)))
+    same = F.col("__source").eqNullSafe(F.col("__s")) & (F.col("__block") == F.col("__b")) & (F.col("__epoch") == F.col("__e"))
+    return read.join(ranks, same).select(*docs.columns, "__copies", "__epoch", "__rank", "__place")
 
 
 def mixed(docs: DataFrame, source: str = "source", doc_id: str = "doc_id", text: str = "text", **targets) -> DataFrame:
@@ -133,4 +167,4 @@ def mixed(docs: DataFrame, source: str = "source", doc_id: str = "doc_id", text:
     return under_own_names(docs, work, source=source, doc_id=doc_id, text=text)
 
 
-__all__ = ["estimated_tokens", "source_totals", "bisect_exponent", "weights", "mix", "mixed"]
+__all__ = ["estimated_tokens", "source_totals", "bisect_exponent", "weights", "dealt", "mix", "readings", "mixed"]

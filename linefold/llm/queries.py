@@ -57,8 +57,9 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), max_repeats=MAX_REPEATS).select(
-        "doc_id", "source", mixing.estimated_tokens(F.col("text")).alias("n_tokens"), F.col("__copies").alias("copies"))
+    return mixing.readings(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), max_repeats=MAX_REPEATS).select(
+        "doc_id", "source", mixing.estimated_tokens(F.col("text")).alias("n_tokens"), F.col("__copies").alias("copies"),
+        F.col("__epoch").alias("epoch"), F.col("__rank").alias("block"), F.col("__place").alias("place"))
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,7 +179,16 @@ ORACLES: dict[str, str] = {
         placed AS (
             SELECT d.*, b.before, b.t, sum(n_tokens) OVER (PARTITION BY d.source, d.block ORDER BY h, n_tokens ROWS UNBOUNDED PRECEDING) AS upto
             FROM dealt d JOIN blocks b ON b.source IS NOT DISTINCT FROM d.source AND b.block = d.block)
-        SELECT doc_id, source, n_tokens, (whole + (before + t <= part OR before + upto <= part)::INT)::BIGINT AS copies FROM placed""",
+        copied AS (
+            SELECT *, (whole + (before + t <= part OR before + upto <= part)::INT)::BIGINT AS copies,
+                   row_number() OVER (PARTITION BY source, block ORDER BY h, n_tokens) AS place FROM placed),
+        epochs AS (SELECT DISTINCT source, block, unnest(range(whole::BIGINT + 1)) AS epoch FROM copied),
+        ranks AS (
+            SELECT *, row_number() OVER (PARTITION BY source, epoch ORDER BY md5('0' || if(epoch = 0, '', '.' || epoch) || '/' || coalesce(source, '') || '/' || block), block) AS rank
+            FROM epochs),
+        read AS (SELECT *, unnest(range(if(copies > whole, 0, 1), whole::BIGINT + 1)) AS epoch FROM copied WHERE copies > 0)
+        SELECT doc_id, r.source, n_tokens, copies, r.epoch::INT AS epoch, rank::INT AS block, place::INT AS place
+        FROM read r JOIN ranks k ON k.source IS NOT DISTINCT FROM r.source AND k.block = r.block AND k.epoch = r.epoch""",
     "op4_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings

@@ -56,11 +56,35 @@ def test_entropy_target_and_budget(spark):
         M.bisect_exponent(sources)
 
 
+def test_readings_are_permutations_of_blocks(spark):
+    docs = corpus(spark)
+    got = M.readings(docs, max_repeats=2.5).collect()
+    copies = {r["doc_id"]: r["__copies"] for r in M.mix(docs, max_repeats=2.5).collect()}
+    assert Counter(r["doc_id"] for r in got) == copies
+    by = defaultdict(list)
+    for r in sorted(got, key=lambda r: (str(r["source"]), r["__epoch"], r["__rank"], r["__place"])):
+        by[r["source"], r["__epoch"]].append(r)
+    for (source, epoch), rows in by.items():
+        every = sorted(r["doc_id"] for r in docs.collect() if r["source"] == source)
+        places = [(r["__rank"], r["__place"]) for r in rows]
+        assert len(set(places)) == len(places)
+        if epoch:  # a whole permutation
+            assert sorted(r["doc_id"] for r in rows) == every
+            ranks = {p[0] for p in places}
+            assert ranks == set(range(1, len(ranks) + 1))
+            assert all({p for q, p in places if q == k} == set(range(1, sum(q == k for q, _ in places) + 1)) for k in ranks)
+        else:  # whole blocks first, then the beginning of the next one
+            assert set(r["doc_id"] for r in rows) < set(every)
+    two = [[r["doc_id"] for r in by["c", e]] for e in (1, 2)]
+    assert sorted(two[0]) == sorted(two[1]) and two[0] != two[1]  # each epoch has an order of its own
+
+
 def test_edges(spark, edge_docs, no_docs):
     mixed = M.mixed(edge_docs, max_repeats=1.5)
     assert mixed.columns == edge_docs.columns
     whole, got = (Counter((r["doc_id"], r["text"]) for r in x.collect()) for x in (edge_docs, mixed))
     assert set(got) == set(whole) and all(got[k] >= n for k, n in whole.items())
+    assert M.readings(no_docs, max_repeats=1.5).count() == 0 and M.readings(edge_docs, max_repeats=1.5).count() == mixed.count()
     assert M.mixed(no_docs, max_repeats=1.5).count() == 0 and M.mix(no_docs, entropy=1.0).count() == 0
     one = documents(spark, [(1, "x"), (2, None), (2, None)])
     assert sorted(r["__copies"] for r in M.mix(one, max_repeats=3).collect()) == [1, 1, 1]
