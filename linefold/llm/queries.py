@@ -178,7 +178,7 @@ ORACLES: dict[str, str] = {
             FROM (SELECT source, block, sum(n_tokens) AS t FROM dealt GROUP BY ALL)),
         placed AS (
             SELECT d.*, b.before, b.t, sum(n_tokens) OVER (PARTITION BY d.source, d.block ORDER BY h, n_tokens ROWS UNBOUNDED PRECEDING) AS upto
-            FROM dealt d JOIN blocks b ON b.source IS NOT DISTINCT FROM d.source AND b.block = d.block)
+            FROM dealt d JOIN blocks b ON b.source IS NOT DISTINCT FROM d.source AND b.block = d.block),
         copied AS (
             SELECT *, (whole + (before + t <= part OR before + upto <= part)::INT)::BIGINT AS copies,
                    row_number() OVER (PARTITION BY source, block ORDER BY h, n_tokens) AS place FROM placed),
