@@ -7,10 +7,11 @@ and are judged on the input.
 
 1. Texts. Of equal texts the smallest document counts, and the others are
    removed whole (if they are long enough); no more is done for copies.
-2. Candidates. Of each run of ``length`` bytes, the ``GRAM``-byte gram with
-   the smallest hash is an anchor (winnowing): equal strings have equal
-   anchors at equal places. Only anchors that at least two texts share go on,
-   each with its context, the bytes of all strings that hold it. Contexts that
+2. Candidates. Of each string of ``length`` bytes, the ``GRAM``-byte gram with
+   the smallest hash (the first of equal ones) is its anchor (winnowing): equal
+   strings have equal anchors at equal places, and neighbouring strings mostly
+   have the same one. Only anchors that at least two texts share go on, each
+   with its context, the bytes of the strings whose anchor it is. Contexts that
    are equal are one, with the smallest document of all of them (a partial
    aggregate, so common passages are cheap).
 3. The distinct contexts are dealt into blocks by anchor. In a block, shards of
@@ -21,9 +22,10 @@ and are judged on the input.
    suffix is sorted again, and a block is bounded: an anchor with more than
    ``MOST_CONTEXTS`` distinct contexts is split into the single strings of its
    contexts, whose smallest documents are a plain aggregate, exact as well.
-   An anchor with one context needs no merge, nor does a context whose bytes
-   around the gram stand in no other context of the anchor, and of the others
-   only the bytes of strings that may be shared are merged (``shared_parts``).
+   Equal strings have one anchor, so an anchor with one context needs no merge,
+   nor does a context whose bytes around the gram stand in no other context of
+   the anchor, and of the others only the bytes of strings that may be shared
+   are merged (``shared_parts``).
 4. Places whose string has a smaller document are put together per document,
    and the covered bytes removed.
 
@@ -51,6 +53,7 @@ MOST_CONTEXTS = 4_000
 BLOCK_BYTES = 1 << 20
 SHARD_CONTEXTS = 600
 SOME_PLACES = 20_000  # contexts that a task holds at once
+CHUNK = 1 << 15  # bytes hashed at once
 PARTS = 6  # ranges of places of the gram within a string
 SMALL_TABLE = 50_000  # anchors in a table that may be broadcast
 LAST = 2 ** 63 - 1  # the place of null ids
@@ -59,9 +62,9 @@ LAST = 2 ** 63 - 1  # the place of null ids
 def gram_hashes(text: np.ndarray) -> np.ndarray:
     """64-bit hashes of the 24-byte grams of a text (uint8)."""
     n = len(text) - GRAM + 1
-    words = np.lib.stride_tricks.as_strided(text[:8].view("<u8"), (n + GRAM - 8,), (1,)) if n > 0 else np.zeros(0, np.uint64)
     if n <= 0:
-        return words
+        return np.zeros(0, np.uint64)
+    words = np.ascontiguousarray(np.lib.stride_tricks.as_strided(text[:8].view("<u8"), (n + GRAM - 8,), (1,)))
     h = words[:n] * np.uint64(0x9E3779B97F4A7C15)
     for at, factor in ((8, 0xC2B2AE3D27D4EB4F), (16, 0x165667B19E3779F9)):
         h ^= h >> np.uint64(29)
@@ -81,16 +84,44 @@ def sliding(x: np.ndarray, size: int, best: np.ufunc) -> np.ndarray:
     return x
 
 
-def anchors(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the anchors: in each ``length`` bytes, every
-    gram with the smallest hash."""
+def anchors(text: np.ndarray, length: int, ends: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """(first, last, at, hash) of the anchors of a text of at most a million
+    bytes: strings that start at ``first`` to ``last`` have the gram at ``at``
+    as theirs. ``ends``: where the texts end, if it is several in a row, of
+    ``length`` bytes and more each."""
     if len(text) < length:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    h, run = gram_hashes(text), length - GRAM + 1
-    low = sliding(h, run, np.minimum)
-    edge = np.zeros(run - 1, np.uint64)
-    at = np.flatnonzero(sliding(np.concatenate([edge, low, edge]), run, np.maximum) == h)
-    return at, h[at].view(np.int64)
+        none = np.zeros(0, np.int64)
+        return none, none, none, none
+    h, place = gram_hashes(text), np.uint64((1 << 20) - 1)
+    # the smallest hash (its upper bits), of equal ones the first, in one number
+    at = (sliding((h & ~place) | np.arange(len(h), dtype=np.uint64), length - GRAM + 1, np.minimum) & place).astype(np.int64)
+    new = np.append(True, at[1:] != at[:-1])
+    if ends is not None and len(ends) > 1:
+        at[(ends[:-1, None] + np.arange(1 - length, 0)).ravel()] = -1  # strings over the end of a text
+        new[ends[:-1]] = new[ends[:-1] + 1 - length] = True
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(at)) - 1
+    some = at[first] >= 0
+    first, last = first[some], last[some]
+    return first, last, at[first], h[at[first]].view(np.int64)
+
+
+def anchors_of(texts: pa.Array, length: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(row, first, last, at, hash) of the anchors of each text, ``length``
+    bytes and more each, some texts or a part of one at a time."""
+    texts = texts.cast(pa.large_binary())
+    offset = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data, i = np.frombuffer(texts.buffers()[2] or b"", np.uint8), 0
+    while i < len(texts):
+        j = max(i + 1, int(np.searchsorted(offset, offset[i] + CHUNK, "right")) - 1)
+        low, high = int(offset[i]), int(offset[j])
+        step = CHUNK if j == i + 1 else high - low  # strings of one long text in parts
+        for k in range(low, high - length + 1, step):
+            first, last, at, found = anchors(data[k:min(k + step + length - 1, high)], length, offset[i + 1:j + 1] - low)
+            row = i + np.searchsorted(offset[i + 1:j + 1], first + k, "right")
+            back = k - offset[row]
+            yield row, first + back, last + back, at + back, found
+        i = j
 
 
 def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -103,91 +134,85 @@ def shared_places(rows: DataFrame, length: int) -> DataFrame:
     """(th, places): per text, the places of anchors that another text has."""
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [np.unique(anchors(np.frombuffer(t, np.uint8), length)[1]) for t in b.column(1).to_pylist()]
-            row = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), b.column(0).take(row)], names=["anchor", "th"])
+            for row, *_, found in anchors_of(b.column(1), length):
+                yield pa.RecordBatch.from_arrays([pa.array(found), b.column(0).take(pa.array(row))], names=["anchor", "th"])
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [anchors(np.frombuffer(t, np.uint8), length) for t in b.column(1).to_pylist()]
-            row = pa.array(np.repeat(np.arange(len(found)), [len(at) for at, _ in found]))
-            at, anchor = (np.concatenate([f[k] for f in found]) for k in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(anchor), b.column(0).take(row), pa.array(at.astype(np.int32))], names=["anchor", "th", "at"])
+            for row, first, last, at, found in anchors_of(b.column(1), length):
+                place = (first << 32) | ((last - first) << 16) | (at - last)
+                yield pa.RecordBatch.from_arrays([pa.array(found), b.column(0).take(pa.array(row)), pa.array(place)], names=["anchor", "th", "place"])
 
     full = rows.filter(F.octet_length("raw") >= length).select("th", "raw")
     met = (full.mapInArrow(values, "anchor bigint, th bigint").groupBy("anchor")
            .agg(F.min("th").alias("low"), F.max("th").alias("high")).filter("low < high").select("anchor"))
-    met = written(met, "anchors")
+    # each anchor once, dealt evenly: a task's share is hashed rather than all places sorted
+    met = written(met, "anchors").hint("shuffle_hash")
     # the places of one text, whose size bounds the set
-    return written(full.mapInArrow(places, "anchor bigint, th bigint, at int").join(met, "anchor")
-                   .groupBy("th").agg(F.collect_set("at").alias("places")), "places")
+    return written(full.mapInArrow(places, "anchor bigint, th bigint, place bigint").join(met, "anchor")
+                   .groupBy("th").agg(F.collect_set("place").alias("places")), "places")
 
 
 def contexts(rows: DataFrame, places: DataFrame, length: int) -> DataFrame:
-    """(anchor, d, th, start, context) of each shared anchor's place; places:
-    (d, th, places) of the documents to look at."""
+    """(anchor, d, th, start, before, context) of each shared anchor's place,
+    ``before`` the bytes before the gram; places: (d, th, places) of the
+    documents to look at."""
     def batch(b: pa.RecordBatch, held: list[tuple]) -> pa.RecordBatch:
         row = pa.array(np.repeat([x[0] for x in held], [len(x[1]) for x in held]))
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[1] for x in held])), b.column(0).take(row), b.column(1).take(row),
-                                           pa.array(np.concatenate([x[2] for x in held]).astype(np.int32)),
-                                           pa.array([c for x in held for c in x[3]], pa.binary())], names=["anchor", "d", "th", "start", "context"])
+        anchor, start, before = (np.concatenate([x[k] for x in held]) for k in (1, 2, 3))
+        return pa.RecordBatch.from_arrays([pa.array(anchor), b.column(0).take(row), b.column(1).take(row), pa.array(start.astype(np.int32)),
+                                           pa.array(before.astype(np.int32)), pa.array([c for x in held for c in x[4]], pa.binary())],
+                                          names=["anchor", "d", "th", "start", "before", "context"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            held: list[tuple] = []
+            held, n = [], 0
             for i in range(b.num_rows):
                 text, places = b.column(2)[i].as_py(), np.sort(b.column(3)[i].values.to_numpy())
-                hashes = gram_hashes(np.frombuffer(text, np.uint8))[places].view(np.int64)
+                first = places >> 32
+                last = first + ((places >> 16) & 0xFFFF)
+                at = last + (places & 0xFFFF)
+                hashes = gram_hashes(np.frombuffer(text, np.uint8))[at].view(np.int64)
                 for k in range(0, len(places), SOME_PLACES):  # nearly every byte of a text of equal bytes is an anchor
-                    at = places[k:k + SOME_PLACES]
-                    start = np.maximum(at + GRAM - length, 0)
-                    held.append((i, hashes[k:k + SOME_PLACES], start, [text[s:p + length] for s, p in zip(start.tolist(), at.tolist())]))
-                    if sum(len(x[3]) for x in held) >= SOME_PLACES:
+                    some = slice(k, k + SOME_PLACES)
+                    held.append((i, hashes[some], first[some], (at - first)[some],
+                                 [text[s:e] for s, e in zip(first[some].tolist(), (last[some] + length).tolist())]))
+                    n += len(held[-1][1])
+                    if n >= SOME_PLACES:
                         yield batch(b, held)
-                        held = []
+                        held, n = [], 0
             if held:
                 yield batch(b, held)
 
     return rows.join(places, ["d", "th"]).select("d", "th", "raw", "places").mapInArrow(
-        run, "anchor bigint, d bigint, th bigint, start int, context binary")
+        run, "anchor bigint, d bigint, th bigint, start int, before int, context binary")
 
 
-def shared_parts(texts: np.ndarray, anchor: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+def shared_parts(texts: np.ndarray, before: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Per context, where strings that another context of its anchor may hold
     start: first and last place, the last below the first if there is none.
-    There are false positives, no false negatives.
+    There are false positives, no false negatives. before: bytes before the gram.
 
     A shared string reaches some o bytes before the gram and the rest of
     ``length`` behind it. The possible o are cut into ``PARTS`` ranges; in a
     range all strings hold the same bytes around the gram, all but a few, so
-    only ranges of which this core stands in another context count. Contexts
-    cut short by an end of their text are filled up with a byte that no text
-    has; one that holds the gram twice stays whole, and so do its anchor's.
+    only ranges of which this core stands in another context count. Cores are
+    told apart by a hash.
     """
     reach = length - GRAM
     size = np.array([len(t) for t in texts])
-    before = np.full(len(texts), reach)  # bytes before the gram
-    for i in np.flatnonzero(size < length + reach):
-        at = np.flatnonzero(gram_hashes(np.frombuffer(texts[i], np.uint8)) == anchor[i].view(np.uint64))
-        before[i] = at[0] if len(at) == 1 else -1
-    twice = np.isin(anchor, anchor[before < 0])
-    before = np.maximum(before, 0)
-    fill = [b"\xff" * n for n in range(reach + 1)]
-    full = b"".join([fill[reach - n] + t + fill[max(0, n - (m - length))] if m < length + reach else t
-                     for t, n, m in zip(texts, before.tolist(), size.tolist())]) if not twice.any() else None
-    if full is None:
-        rows = np.flatnonzero(~twice)
-        first, last = np.zeros(len(texts), np.int64), size - length
-        if len(rows):
-            first[rows], last[rows] = shared_parts(texts[rows], anchor[rows], length)
-        return first, last
-    cells = np.frombuffer(full, np.uint8).reshape(-1, length + reach)
+    cells = np.zeros((len(texts), length + reach), np.uint8)
+    column = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(reach - before, size)
+    cells[np.repeat(np.arange(len(texts)), size), column] = np.frombuffer(b"".join(texts), np.uint8)
+    weight = np.random.default_rng(0).integers(0, 1 << 63, length + reach).astype(np.uint64) | np.uint64(1)
     edges = [reach * k // PARTS for k in range(PARTS + 1)]
     least, most = np.full(len(texts), reach + 1), np.full(len(texts), -1)
     for low, high in zip(edges, edges[1:]):  # from low to high bytes before the gram
-        core = np.ascontiguousarray(cells[:, reach - low:reach + length - high])
-        _, which, times = np.unique(core.view(f"V{core.shape[1]}").ravel(), return_inverse=True, return_counts=True)
-        shared = times[which] > 1
+        core = slice(reach - low, reach + length - high)
+        rows = np.flatnonzero((before >= low) & (size - before >= length - high))  # those that hold the core
+        key = (cells[rows, core] * weight[core]).sum(axis=1, dtype=np.uint64)
+        _, which, times = np.unique(key, return_inverse=True, return_counts=True)
+        shared = rows[times[which] > 1]
         least[shared] = np.minimum(least[shared], low)
         most[shared] = high
     # a place in the context; only those that its bytes reach
@@ -213,9 +238,9 @@ def smallest_documents(texts: list[bytes], docs: np.ndarray, length: int) -> lis
 
 
 def interval_documents(distinct: DataFrame, length: int) -> DataFrame:
-    """(c1, c2, low, lows): of each distinct context, the smallest document of
-    all its strings (``lows`` null) or of each (``low`` null). distinct:
-    (anchor, c1, c2, context, d), d the context's own."""
+    """(anchor, c, low, lows): of each distinct context, the smallest document
+    of all its strings (``lows`` null) or of each (``low`` null). distinct:
+    (anchor, c, before, context, d), d the context's own, c its hash."""
     counted = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("context") + 1).alias("bytes"))
     counted = written(counted, "anchor-counts")
     crowded = counted.filter(F.col("n") > MOST_CONTEXTS).select("anchor")
@@ -230,7 +255,7 @@ def interval_documents(distinct: DataFrame, length: int) -> DataFrame:
         several = np.flatnonzero(block.duplicated("anchor", keep=False))
         if len(several):
             texts = block["context"].to_numpy()[several]
-            first, last = shared_parts(texts, block["anchor"].to_numpy()[several], length)
+            first, last = shared_parts(texts, block["before"].to_numpy()[several].astype(np.int64), length)
             some = first <= last  # the others have all their strings to themselves
             several, texts, first, last = several[some], texts[some], first[some], last[some]
         if len(several):
@@ -245,18 +270,18 @@ def interval_documents(distinct: DataFrame, length: int) -> DataFrame:
             for at, x, s in zip(several, lows, same):
                 column[at] = None if s else x
             block["lows"] = column
-        return block[["c1", "c2", "low", "lows"]]
+        return block[["anchor", "c", "low", "lows"]]
 
     usual = distinct.join(crowded, "anchor", "left_anti").withColumn("block", F.pmod(F.xxhash64("anchor"), F.lit(blocks)))
-    usual = usual.groupBy("block").applyInPandas(merged, "c1 bigint, c2 bigint, low bigint, lows array<bigint>")
+    usual = usual.groupBy("block").applyInPandas(merged, "anchor bigint, c bigint, low bigint, lows array<bigint>")
 
     n_strings = F.octet_length("context") - F.lit(length - 1)
     strings = (distinct.join(crowded, "anchor")
-               .select("c1", "c2", "d", "context", F.posexplode(F.sequence(F.lit(1), n_strings)).alias("k", "p"))
-               .select("c1", "c2", "d", "k", F.expr(f"substring(context, p, {length})").alias("string")))
+               .select("anchor", "c", "d", "context", F.posexplode(F.sequence(F.lit(1), n_strings)).alias("k", "p"))
+               .select("anchor", "c", "d", "k", F.expr(f"substring(context, p, {length})").alias("string")))
     least = strings.groupBy("string").agg(F.min("d").alias("low"))
-    many = (strings.join(least, "string").groupBy("c1", "c2").agg(F.sort_array(F.collect_list(F.struct("k", "low"))).alias("x"))
-            .select("c1", "c2", F.lit(None).cast("bigint").alias("low"), F.col("x.low").alias("lows")))
+    many = (strings.join(least, "string").groupBy("anchor", "c").agg(F.sort_array(F.collect_list(F.struct("k", "low"))).alias("x"))
+            .select("anchor", "c", F.lit(None).cast("bigint").alias("low"), F.col("x.low").alias("lows")))
     return usual.unionByName(many)
 
 
@@ -274,19 +299,20 @@ def covered(first: np.ndarray, last: np.ndarray, length: int) -> list[tuple[int,
 def remove_repeats(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, n_bytes, n_removed, ``spans`` (start
     and end of each maximal removed run) and ``kept`` (the other bytes)."""
-    if length < GRAM + 1:
-        raise ValueError(f"strings must be longer than {GRAM} bytes")
+    if not GRAM < length < 1 << 16:
+        raise ValueError(f"strings must be longer than {GRAM} bytes and shorter than {1 << 16}")
     rows = _rows(docs, doc_id, text)
     texts = written(rows.groupBy("th").agg(F.min("d").alias("d")), "texts")
     shared = shared_places(rows, length).join(texts, "th")
     found = written(contexts(rows, shared, length), "contexts")
-    named = (F.xxhash64("context").alias("c1"), F.xxhash64(F.lit("second"), "context").alias("c2"))
-    distinct = written(found.groupBy("anchor", "context").agg(F.min("d").alias("d")), "distinct-contexts").select("*", *named)
-    lows = written(interval_documents(distinct, length).dropDuplicates(["c1", "c2"]), "intervals")
+    # contexts of one anchor are told apart by a 64-bit hash
+    named = F.xxhash64("context").alias("c")
+    distinct = written(found.groupBy("anchor", "context").agg(F.min("d").alias("d"), F.min("before").alias("before")), "distinct-contexts").select("*", named)
+    lows = written(interval_documents(distinct, length), "intervals")
     # from where to where strings start that an earlier document has
     some = F.filter(F.transform("lows", lambda low, k: F.when(low < F.col("d"), F.col("start") + k)), lambda x: x.isNotNull())
     all_ = F.when(F.col("low") < F.col("d"), F.array("start"))
-    places = found.select(*named, "d", "th", "start", (F.octet_length("context") - F.lit(length)).alias("more")).join(lows, ["c1", "c2"])
+    places = found.select("anchor", named, "d", "th", "start", (F.octet_length("context") - F.lit(length)).alias("more")).join(lows, ["anchor", "c"])
     places = places.withColumn("first", F.when(F.col("lows").isNull(), all_).otherwise(some)).filter(F.size("first") > 0).select(
         "d", "th", "first", F.when(F.col("lows").isNull(), F.array(F.col("start") + F.col("more"))).otherwise(F.col("first")).alias("last"))
     # the places of one text, whose size bounds the list
@@ -322,5 +348,5 @@ def remove_repeats(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", te
     return whole.mapInArrow(cut, schema).withColumnRenamed("id", doc_id)
 
 
-__all__ = ["GRAM", "gram_hashes", "sliding", "anchors", "shared_places", "contexts", "smallest_documents", "interval_documents", "covered",
+__all__ = ["GRAM", "gram_hashes", "sliding", "anchors", "anchors_of", "shared_places", "contexts", "smallest_documents", "interval_documents", "covered",
            "remove_repeats"]

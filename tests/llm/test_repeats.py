@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from linefold.llm import repeats as R
 from llm_data import EDGES, documents, prose
@@ -80,19 +81,34 @@ def test_shareable_parts_hold_every_shared_string():
             x, y = some(26 - a) + left[26 - a:], right[:b] + (gram[:26 - b] if r.random() < 0.1 else some(26 - b))
             texts.append((x[r.randrange(26):] if r.random() < 0.3 else x) + gram + (y[:r.randrange(26)] if r.random() < 0.3 else y))
         texts = [t for t in dict.fromkeys(texts) if len(t) >= 50]
-        anchor = np.full(len(texts), R.gram_hashes(np.frombuffer(gram, np.uint8))[0].view(np.int64))
-        first, last = R.shared_parts(np.array(texts, dtype=object), anchor, 50)
+        before = np.array([t.find(gram) for t in texts])
+        first, last = R.shared_parts(np.array(texts, dtype=object), before, 50)
         for i, t in enumerate(texts):
-            for k in range(len(t) - 49):
-                s = t[k:k + 50]
-                assert first[i] <= k <= last[i] or gram not in s or not any(s in u for j, u in enumerate(texts) if j != i)
+            for k in range(max(before[i] - 26, 0), min(before[i], len(t) - 50) + 1):  # strings with the gram at its place
+                places = ((u, before[j] - before[i] + k) for j, u in enumerate(texts) if j != i)
+                assert first[i] <= k <= last[i] or not any(at >= 0 and u[at:at + 50] == t[k:k + 50] for u, at in places)
 
 
-def test_every_window_has_an_anchor_that_its_bytes_decide():
+def test_every_string_has_one_anchor_that_its_bytes_decide():
     rng = np.random.default_rng(0)
     text = rng.integers(0, 3, 400).astype(np.uint8)
-    at, _ = R.anchors(text, 50)
-    for s in range(351):
-        inside = set(at[(at >= s) & (at <= s + 26)] - s)
-        own, _ = R.anchors(text[s:s + 50].copy(), 50)
-        assert inside and set(own) <= inside
+    first, last, at, found = R.anchors(text, 50)
+    assert [s for a, b in zip(first, last) for s in range(a, b + 1)] == list(range(351))
+    for a, b, p, h in zip(first, last, at, found):
+        for s in range(a, b + 1):
+            assert [x.tolist() for x in R.anchors(text[s:s + 50].copy(), 50)] == [[0], [0], [p - s], [h]]
+
+
+def test_texts_hashed_in_a_row_and_in_parts_have_their_own_anchors(monkeypatch):
+    rng = np.random.default_rng(1)
+    texts = [rng.integers(0, rng.integers(1, 9), n).astype(np.uint8).tobytes() for n in (50, 51, 300, 50, 3000, 120, 76, 75, 2049, 50)]
+
+    def of_each_string(parts):
+        return {(r, s): (p, h) for rows in parts for r, a, b, p, h in zip(*rows) for s in range(a, b + 1)}
+
+    want = of_each_string((np.full(len(x[0]), r), *x) for r, x in enumerate(R.anchors(np.frombuffer(t, np.uint8), 50) for t in texts))
+    assert len(want) == sum(len(t) - 49 for t in texts)
+    for chunk in (60, 200, 1000, 1 << 15):
+        monkeypatch.setattr(R, "CHUNK", chunk)
+        assert of_each_string(R.anchors_of(pa.array([b"x", *texts], pa.binary())[1:], 50)) == want
+    assert not list(R.anchors_of(pa.array([], pa.binary()), 50))
