@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from linefold.llm.bwt import merge, transform
 from linefold.llm.common import written
 
-GRAM = 24
+GRAM = 20
 MOST_CONTEXTS = 4_000
 BLOCK_BYTES = 1 << 20
 SHARD_CONTEXTS = 600
@@ -59,16 +59,23 @@ SMALL_TABLE = 50_000  # anchors in a table that may be broadcast
 LAST = 2 ** 63 - 1  # the place of null ids
 
 
-def gram_hashes(text: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the 24-byte grams of a text (uint8)."""
+def gram_hashes(text: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hashes of the ``GRAM``-byte grams of a text (uint8), of all or of
+    those that start ``at``."""
     n = len(text) - GRAM + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    words = np.ascontiguousarray(np.lib.stride_tricks.as_strided(text[:8].view("<u8"), (n + GRAM - 8,), (1,)))
-    h = words[:n] * np.uint64(0x9E3779B97F4A7C15)
-    for at, factor in ((8, 0xC2B2AE3D27D4EB4F), (16, 0x165667B19E3779F9)):
+    words = np.lib.stride_tricks.as_strided(text[:8].view("<u8"), (n + GRAM - 8,), (1,))
+    if at is None:
+        words = np.ascontiguousarray(words)
+
+    def word(k: int) -> np.ndarray:
+        return words[k:k + n] if at is None else words[at + k]
+
+    h = word(0) * np.uint64(0x9E3779B97F4A7C15)
+    for k, factor in zip((*range(8, GRAM - 8, 8), GRAM - 8), (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)):
         h ^= h >> np.uint64(29)
-        h += words[at:at + n]
+        h += word(k)
         h *= np.uint64(factor)
     h ^= h >> np.uint64(32)
     return h
@@ -172,7 +179,7 @@ def contexts(rows: DataFrame, places: DataFrame, length: int) -> DataFrame:
                 first = places >> 32
                 last = first + ((places >> 16) & 0xFFFF)
                 at = last + (places & 0xFFFF)
-                hashes = gram_hashes(np.frombuffer(text, np.uint8))[at].view(np.int64)
+                hashes = gram_hashes(np.frombuffer(text, np.uint8), at).view(np.int64)
                 for k in range(0, len(places), SOME_PLACES):  # nearly every byte of a text of equal bytes is an anchor
                     some = slice(k, k + SOME_PLACES)
                     held.append((i, hashes[some], first[some], (at - first)[some],
@@ -304,15 +311,16 @@ def remove_repeats(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", te
     rows = _rows(docs, doc_id, text)
     texts = written(rows.groupBy("th").agg(F.min("d").alias("d")), "texts")
     shared = shared_places(rows, length).join(texts, "th")
-    found = written(contexts(rows, shared, length), "contexts")
-    # contexts of one anchor are told apart by a 64-bit hash
+    # contexts of one anchor are told apart by a 64-bit hash; the bytes are read once more only
     named = F.xxhash64("context").alias("c")
+    more = (F.octet_length("context") - F.lit(length)).alias("more")
+    found = written(contexts(rows, shared, length).select("*", named, more), "contexts")
     distinct = written(found.groupBy("anchor", "context").agg(F.min("d").alias("d"), F.min("before").alias("before")), "distinct-contexts").select("*", named)
-    lows = written(interval_documents(distinct, length), "intervals")
+    lows = written(interval_documents(distinct, length), "intervals")  # each context once, so dealt evenly
     # from where to where strings start that an earlier document has
     some = F.filter(F.transform("lows", lambda low, k: F.when(low < F.col("d"), F.col("start") + k)), lambda x: x.isNotNull())
     all_ = F.when(F.col("low") < F.col("d"), F.array("start"))
-    places = found.select("anchor", named, "d", "th", "start", (F.octet_length("context") - F.lit(length)).alias("more")).join(lows, ["anchor", "c"])
+    places = found.select("anchor", "c", "d", "th", "start", "more").join(lows.hint("shuffle_hash"), ["anchor", "c"])
     places = places.withColumn("first", F.when(F.col("lows").isNull(), all_).otherwise(some)).filter(F.size("first") > 0).select(
         "d", "th", "first", F.when(F.col("lows").isNull(), F.array(F.col("start") + F.col("more"))).otherwise(F.col("first")).alias("last"))
     # the places of one text, whose size bounds the list

@@ -74,7 +74,7 @@ def test_shareable_parts_hold_every_shared_string():
     r = random.Random(1)
     some = lambda n: bytes(r.randrange(97, 123) for _ in range(n))
     for _ in range(200):
-        gram, left, right = bytes(r.choice(b"ab") for _ in range(24)), some(26), some(26)
+        gram, left, right = bytes(r.choice(b"ab") for _ in range(R.GRAM)), some(26), some(26)
         texts = []
         for _ in range(8):
             a, b = r.randrange(27), r.randrange(27)
@@ -84,7 +84,7 @@ def test_shareable_parts_hold_every_shared_string():
         before = np.array([t.find(gram) for t in texts])
         first, last = R.shared_parts(np.array(texts, dtype=object), before, 50)
         for i, t in enumerate(texts):
-            for k in range(max(before[i] - 26, 0), min(before[i], len(t) - 50) + 1):  # strings with the gram at its place
+            for k in range(max(before[i] + R.GRAM - 50, 0), min(before[i], len(t) - 50) + 1):  # strings with the gram at its place
                 places = ((u, before[j] - before[i] + k) for j, u in enumerate(texts) if j != i)
                 assert first[i] <= k <= last[i] or not any(at >= 0 and u[at:at + 50] == t[k:k + 50] for u, at in places)
 
