@@ -66,7 +66,7 @@ def test_feed_deals_the_lines_once_and_reads_the_given_tables(spark, tmp_path):
 
 
 def test_views_shuffle_only_the_columns_used(spark):
-    df = P.mapping(spark, "/root/testdata/sf0.001").staged().select("ordernumber", "order_quantity")
+    df = P.mapping(spark, "/root/testdata/sf0.001").feed("staged").select("ordernumber", "order_quantity")
     plan = df._jdf.queryExecution().executedPlan().toString()
     scans = [x for x in plan.splitlines() if "FileScan" in x]
     assert len(scans) == 2 and not any("l_suppkey" in x or "o_custkey" in x for x in scans)
