@@ -57,6 +57,8 @@ CHUNK = 1 << 15  # bytes hashed at once
 PARTS = 6  # ranges of places of the gram within a string
 SMALL_TABLE = 50_000  # anchors in a table that may be broadcast
 LAST = 2 ** 63 - 1  # the place of null ids
+MOST_BITS = 1 << 28  # of the filter of shared anchors, 32 MB
+BUCKET_BITS = 1 << 15  # of one row of Spark's bitmaps
 
 
 def gram_hashes(text: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
@@ -137,6 +139,28 @@ def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("d"), F.xxhash64(raw).alias("th"), raw.alias("raw"))
 
 
+def anchor_filter(met: DataFrame, most_bits: int = MOST_BITS) -> np.ndarray:
+    """Bits (uint8) of which those of the anchors of ``met`` are set, and of
+    others a few: what has no bit is not in ``met``. At most ``most_bits``, so
+    what reaches the driver is bounded; with more anchors more others pass."""
+    n, bits = met.count(), BUCKET_BITS
+    while bits < min(16 * n, most_bits):
+        bits *= 2
+    at = F.pmod("anchor", F.lit(bits)) + 1
+    buckets = met.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bitmap"))
+    out = np.zeros((bits // BUCKET_BITS, BUCKET_BITS // 8), np.uint8)
+    for r in buckets.collect():
+        out[r["bucket"] - 1] = np.frombuffer(r["bitmap"], np.uint8)
+    return out.ravel()
+
+
+def may_be_in(found: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Whether each anchor has its bit set."""
+    at = found & np.int64(8 * len(bits) - 1)  # the number of bits is a power of two
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
 def shared_places(rows: DataFrame, length: int) -> DataFrame:
     """(th, places): per text, the places of anchors that another text has."""
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,6 +171,9 @@ def shared_places(rows: DataFrame, length: int) -> DataFrame:
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row, first, last, at, found in anchors_of(b.column(1), length):
+                # most anchors are in one text: few of those go to the join, which decides
+                some = may_be_in(found, bits.value)
+                row, first, last, at, found = row[some], first[some], last[some], at[some], found[some]
                 place = (first << 32) | ((last - first) << 16) | (at - last)
                 yield pa.RecordBatch.from_arrays([pa.array(found), b.column(0).take(pa.array(row)), pa.array(place)], names=["anchor", "th", "place"])
 
@@ -154,7 +181,9 @@ def shared_places(rows: DataFrame, length: int) -> DataFrame:
     met = (full.mapInArrow(values, "anchor bigint, th bigint").groupBy("anchor")
            .agg(F.min("th").alias("low"), F.max("th").alias("high")).filter("low < high").select("anchor"))
     # each anchor once, dealt evenly: a task's share is hashed rather than all places sorted
-    met = written(met, "anchors").hint("shuffle_hash")
+    met = written(met, "anchors")
+    bits = rows.sparkSession.sparkContext.broadcast(anchor_filter(met))
+    met = met.hint("shuffle_hash")
     # the places of one text, whose size bounds the set
     return written(full.mapInArrow(places, "anchor bigint, th bigint, place bigint").join(met, "anchor")
                    .groupBy("th").agg(F.collect_set("place").alias("places")), "places")

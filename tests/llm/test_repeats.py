@@ -112,3 +112,18 @@ def test_texts_hashed_in_a_row_and_in_parts_have_their_own_anchors(monkeypatch):
         monkeypatch.setattr(R, "CHUNK", chunk)
         assert of_each_string(R.anchors_of(pa.array([b"x", *texts], pa.binary())[1:], 50)) == want
     assert not list(R.anchors_of(pa.array([], pa.binary()), 50))
+
+
+def test_filter_of_shared_anchors(spark):
+    """Every shared anchor has its bit, few others do, also where bits run short."""
+    rng = np.random.default_rng(1)
+    met = rng.integers(-2 ** 63, 2 ** 63 - 1, 3_000)
+    met[:3] = [0, -1, 2 ** 63 - 1]
+    table = spark.createDataFrame([(int(x),) for x in met], "anchor bigint")
+    others = rng.integers(-2 ** 63, 2 ** 63 - 1, 20_000)
+    for most, share in ((R.MOST_BITS, 0.1), (R.BUCKET_BITS, 0.15)):
+        bits = R.anchor_filter(table, most)
+        assert 8 * len(bits) <= max(most, R.BUCKET_BITS)
+        assert R.may_be_in(met, bits).all()
+        assert R.may_be_in(others, bits).mean() < share
+    assert not R.may_be_in(others, R.anchor_filter(table.limit(0))).any()
