@@ -9,7 +9,7 @@ from linefold.operators import rejects
 from linefold.operators.joins import few_keys, of_keys
 from linefold.plans import mapping as M
 from linefold.plans import proofs as P
-from linefold.session import size_shuffles
+from linefold.session import bound_tasks, size_shuffles
 
 DAY = [dt.datetime(1998, 5, d, 0, 0) for d in range(1, 6)]
 
@@ -115,3 +115,43 @@ def test_guarantee_block_reads_only_its_columns(spark):
     assert set(r.columns) == set(P._G_READS)
     plan = r._jdf.queryExecution().optimizedPlan().toString()
     assert "ordercomments" not in plan.lower() and "paymentType" not in plan
+
+
+def test_lines_are_collected_without_their_texts(spark, tmp_path):
+    orders = [_order(k) for k in (4, 5, 6, 7)]
+    lines = [_line(k, n, 1, part=10 + n, supp=n) for k in (4, 5, 6, 7) for n in range(1, 8)]
+    lines += [(7, None, None, None, None, None, None, None, None, None, DAY[1])]
+    m = _tables(spark, tmp_path / "narrow", orders, lines)
+    view = {(r.k, r.l_linenumber): r for r in m.view("m_lines").collect()}
+    for name, k in (("webshop", 4), ("dropship", 5), ("marketplace", 6), ("fsd", 7)):
+        feed = m.feed(name)
+        plan = feed._jdf.queryExecution().optimizedPlan().toString()
+        collected = [x for x in plan.splitlines() if "collect_list" in x]
+        assert collected and not any(c in x.split("collect_list")[1] for x in collected for c in ("orderlineid", "position_text", "opt1"))
+        numbers = sorted((n for o, n in view if o == k), key=lambda n: (n is not None, n))
+        for n, x in zip(numbers, feed.select("items").first()[0], strict=True):
+            r = view[(k, n)]
+            assert (x.articleId, x.quantity) == (r.articleid, r.l_quantity)
+            assert x.positionNumber == (r.position_num if name == "fsd" else r.position_text)
+            if name == "fsd":
+                assert (x.replacedItemNumber, x.priceData.netPrice.sumPrice.amount) == (r.replaced, r.amount_text)
+            elif name == "marketplace":
+                assert (x.sumNet, x.orderlineid, x.miraklOrderLineStatus) == (r.l_extendedprice, r.orderlineid, r.line_status)
+            else:
+                assert tuple(x.priceData) == (r.l_extendedprice, r.net_double)
+                assert [o.id for o in x.articledata.serviceoptions] == [r.opt1, r.opt2][:r.n_opts]
+
+
+def test_tasks_are_bounded_by_bytes(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "64MB")
+        assert bound_tasks(spark) == 16 << 20
+        assert bound_tasks(spark, 1 << 20) == bound_tasks(spark) == 1 << 20  # a smaller setting stays
+        spark.conf.set(key, "64MB")
+        P._MAPS.pop((spark.sparkContext.applicationId, "/root/testdata/sf0.001"), None)
+        P.mapping(spark, "/root/testdata/sf0.001")
+        assert int(spark.conf.get(key)) == 16 << 20
+    finally:
+        spark.conf.set(key, before)
