@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from linefold.operators import fact, stage
 from linefold.operators.joins import dealt_by_order, join_narrow
+from linefold.operators.lines import LINE_COLUMNS, LINE_TYPES
 
 DAY = dt.date(2000, 1, 1)
 
@@ -79,3 +80,36 @@ def test_wide_lines_are_dealt_once(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_enriched_lines_are_regrouped_where_the_order_join_leaves_them(spark):
+    some = [("k1", "9-1", "a1", ""), ("k1", "9-1", "a1", ""), ("k2", "9-1", "a1", "m1"), ("k1", None, "a1", None), ("k2", None, "a1", None),
+            (None, None, "a1", None), (None, "9-2", None, "m1")]
+    at = dt.datetime(2000, 1, 1, 10, 0)
+    fixed = {"combiordernumber": "c1", "orderComments": "x", "creationtime": at, "positionNumber": 1, "order_quantity": 1.0, "sumNet": 2.0}
+    names = dict(zip(("combiorderid", "ordernumber", "articleId", "orderlineid"), range(4)))
+    types = ", ".join(f"{c} {LINE_TYPES.get(c, 'string')}" for c in LINE_COLUMNS)
+    lines = spark.createDataFrame([tuple(x[names[c]] if c in names else fixed.get(c) for c in LINE_COLUMNS) for x in some], types)
+    per_combi = spark.createDataFrame([("k1", 1, "e1"), (None, 9, "e9")], "combiorderid string, count_emp long, employee_id string")
+    per_order = spark.createDataFrame([("9-1", 1, "e1"), (None, 1, "e9")], "ordernumber string, count_emp long, employee_id string")
+    basket = spark.createDataFrame([("k2", "a1", "u@x")], "combiorderid string, bundleId string, userid string")
+    mkp = spark.createDataFrame([("m1", 5), ("m1", 6)], "OrderLineId string, Shopid long")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = stage.enrich_lines(lines, lines.filter("1 = 0"), per_combi, per_order, basket, mkp)
+        wide, todo = 0, [df._jdf.queryExecution().executedPlan()]
+        while todo:
+            node = todo.pop()
+            wide += node.nodeName() == "Exchange" and "orderComments" in node.output().mkString(",")
+            todo += [node.children().apply(k) for k in range(node.children().size())]
+        got = sorted(map(str, (tuple(r) for r in df.select("ordernumber", "articleid", "added_to_basket_employee", "affected_employee", "shopid", "order_quantity").collect())))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert wide == 4  # for the four lookups, none to regroup
+    want = [("9-1", "a1", None, "e1", None, 2.0), ("9-1", "a1", "u@x", "u@x", 5, 1.0), ("9-1", "a1", "u@x", "u@x", 6, 1.0),
+            (None, "a1", None, None, None, 2.0), (None, "a1", "u@x", "u@x", None, 1.0), ("9-2", None, None, None, 5, 1.0), ("9-2", None, None, None, 6, 1.0)]
+    assert got == sorted(map(str, want))
