@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from linefold.operators import rejects
+from linefold.operators import guarantee, rejects
 from linefold.operators.joins import few_keys, of_keys
 from linefold.plans import mapping as M
 from linefold.plans import proofs as P
@@ -155,3 +155,55 @@ def test_tasks_are_bounded_by_bytes(spark):
         assert int(spark.conf.get(key)) == 16 << 20
     finally:
         spark.conf.set(key, before)
+
+
+def _staged_tables(spark, root):
+    """Orders of every kind, some twice, and lines; articles, suppliers and parts missing or twice."""
+    orders = [_order(k, k % 5) for k in range(1, 121)] + [_order(2), _order(30, 1), _order(None)]
+    orders = [(*o[:4], None if o[0] in (6, 7) else o[4], o[5]) for o in orders]
+    lines = [_line(k, n, 1, part=k * 5 + n, supp=None if k % 31 == 0 else k * 3 + n // 2) for k in range(1, 125) for n in range(1, 6)]
+    lines += [_line(k, 1, 1, part=k * 5 + 1, supp=k * 3) for k in (2, 4, 30)] + [_line(None, 1, 1)]
+    _tables(spark, root, orders, lines)
+    parts = [(p, p % 47 + 1) for p in range(1, 46) if p % 8] + [(7, 8), (15, 5), (None, 1)]
+    spark.createDataFrame(parts, "p_partkey long, p_size int").write.parquet(f"{root}/part.parquet")
+    suppliers = [(s, s % 25) for s in range(0, 300) if s % 11] + [(30, 5), (31, 7), (31, None), (None, 3)]
+    spark.createDataFrame(suppliers, "s_suppkey long, s_nationkey int").write.parquet(f"{root}/supplier.parquet")
+    return P.mapping(spark, str(root))
+
+
+def _all(df):
+    return sorted(str(tuple(r)) for r in df.collect())
+
+
+def _exchanged(df, column):
+    """Exchanges of rows with this column, and joins of sorted ones."""
+    wide, joins, todo = 0, 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        has = column in node.output().mkString(",")
+        wide += node.nodeName() == "Exchange" and has
+        joins += node.nodeName() == "SortMergeJoin" and has
+        todo += [node.children().apply(k) for k in range(node.children().size())]
+    return wide, joins
+
+
+def test_staged_lines_stay_where_their_order_is(spark, tmp_path):
+    m = _staged_tables(spark, tmp_path / "dealt")
+    plain, s, cat = m.feed("staged"), m.dealt_staged(), P._cat(m)
+
+    def sales(x):
+        return guarantee.guarantee_sales(guarantee.articles_offered_guarantee(x, cat), guarantee.guarantees_per_order(x, cat))
+    conf = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.autoBroadcastJoinThreshold": "15000", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        wide, joins = _exchanged(sales(s), "ordernumber")
+        assert wide == 0 and joins >= 2
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    dir_ = str(tmp_path / "dealt")
+    for got, want in ((P.q_d26(spark, dir_), sales(plain).withColumn("order_date", P.dtxt("order_date"))),):
+        assert got.columns == want.columns
+        assert _all(got) == _all(want) and len(_all(want)) > 50
