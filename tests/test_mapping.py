@@ -187,6 +187,16 @@ def _exchanged(df, column):
     return wide, joins
 
 
+def test_employee_history_is_that_of_the_view_and_shuffles_numbers(spark, tmp_path):
+    m = _staged_tables(spark, tmp_path / "emp")
+    names = {t: m.view(t) and m.prefix + t for t in ("orders", "lineitem", "supplier")}
+    want = spark.sql(M.Template(M.VIEWS["m_emp"]).substitute(names))
+    got = m.view("m_emp")
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert _all(got) == _all(want) and len(_all(want)) > 100
+    assert _exchanged(got, "userprincipalname")[0] == 0
+
+
 def test_staged_lines_stay_where_their_order_is(spark, tmp_path):
     m = _staged_tables(spark, tmp_path / "dealt")
     plain, s, cat = m.feed("staged"), m.dealt_staged(), P._cat(m)
@@ -207,3 +217,13 @@ def test_staged_lines_stay_where_their_order_is(spark, tmp_path):
     for got, want in ((P.q_d26(spark, dir_), sales(plain).withColumn("order_date", P.dtxt("order_date"))),):
         assert got.columns == want.columns
         assert _all(got) == _all(want) and len(_all(want)) > 50
+
+
+def test_split_counts_join_the_lookups_once(spark, tmp_path):
+    m = _staged_tables(spark, tmp_path / "split")
+    s, dims = m.feed("staged"), P._dims(m)
+    got = P.q_d20_21(spark, str(tmp_path / "split"))
+    want = {"all": s.count(), "accepted": rejects.accept_lines(s, *dims, P.MKT).count(), "rejected": rejects.reject_lines(s, *dims, P.MKT).count()}
+    assert {r.part: r.n for r in got.collect()} == want and want["accepted"] and want["rejected"]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert len([x for x in plan.splitlines() if "Join" in x and "__emp_upn" in x]) == 1
