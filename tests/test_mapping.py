@@ -199,7 +199,7 @@ def test_employee_history_is_that_of_the_view_and_shuffles_numbers(spark, tmp_pa
 
 def test_staged_lines_stay_where_their_order_is(spark, tmp_path):
     m = _staged_tables(spark, tmp_path / "dealt")
-    plain, s, cat = m.feed("staged"), m.dealt_staged(), P._cat(m)
+    plain, s, cat, dims = m.feed("staged"), m.dealt_staged(), P._cat(m), P._dims(m)
 
     def sales(x):
         return guarantee.guarantee_sales(guarantee.articles_offered_guarantee(x, cat), guarantee.guarantees_per_order(x, cat))
@@ -208,13 +208,18 @@ def test_staged_lines_stay_where_their_order_is(spark, tmp_path):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
+        for df in (rejects.accept_lines(s, *dims, P.MKT, source=s), rejects.reject_lines(s, *dims, P.MKT, source=s)):
+            assert _exchanged(df, "orderComments") == (0, 1)
         wide, joins = _exchanged(sales(s), "ordernumber")
         assert wide == 0 and joins >= 2
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
     dir_ = str(tmp_path / "dealt")
-    for got, want in ((P.q_d26(spark, dir_), sales(plain).withColumn("order_date", P.dtxt("order_date"))),):
+    cols = (*P._STAGE_OUT, "combinedarticleid", "pk_article")
+    for got, want in ((P.q_d21(spark, dir_), P._stage_out(rejects.accept_lines(plain, *dims, P.MKT), cols)),
+                      (P.q_d20(spark, dir_), P._stage_out(rejects.reject_lines(plain, *dims, P.MKT), P._REJ_OUT)),
+                      (P.q_d26(spark, dir_), sales(plain).withColumn("order_date", P.dtxt("order_date")))):
         assert got.columns == want.columns
         assert _all(got) == _all(want) and len(_all(want)) > 50
 
