@@ -115,6 +115,41 @@ def test_enriched_lines_are_regrouped_where_the_order_join_leaves_them(spark):
     assert got == sorted(map(str, want))
 
 
+def test_enriched_lines_are_dealt_once_for_all_lookups(spark):
+    """Written in buckets of the order, the lines go to no lookup; by the plain way two lookups of one key share a shuffle."""
+    some = [("k1", "9-1", "a1", "", "c1"), ("k1", "9-1", "a1", "", "c1"), ("k2", "9-1", "a1", "m1", "c1"), ("k1", None, "a1", None, "c1"), ("k2", None, "a1", None, "c2"),
+            (None, None, "a1", None, None), (None, None, "a1", "", None), (None, "9-2", None, "m1", "c1")]
+    fixed = {"orderComments": "x", "creationtime": dt.datetime(2000, 1, 1, 10, 0), "order_quantity": 1.0, "sumNet": 2.0}
+    names = dict(zip(("combiorderid", "ordernumber", "articleId", "orderlineid", "combiordernumber"), range(5)))
+    types = ", ".join(f"{c} {LINE_TYPES.get(c, 'string')}" for c in LINE_COLUMNS)
+    lines = spark.createDataFrame([tuple(x[names[c]] if c in names else n if c == "positionNumber" else fixed.get(c) for c in LINE_COLUMNS)
+                                   for n, x in enumerate(some)], types)
+    lookups = (spark.createDataFrame([("k1", 1, "e1"), (None, 9, "e9")], "combiorderid string, count_emp long, employee_id string"),
+               spark.createDataFrame([("9-1", 1, "e1"), (None, 1, "e9")], "ordernumber string, count_emp long, employee_id string"),
+               spark.createDataFrame([("k2", "a1", "u@x"), (None, "a1", "v@x")], "combiorderid string, bundleId string, userid string"),
+               spark.createDataFrame([("m1", 5), ("m1", 6), ("", 7)], "OrderLineId string, Shopid long"))
+    conf = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        none = lines.filter("1 = 0")
+        plain, dealt = stage.enrich_lines(lines, none, *lookups), stage.enrich_lines(stage._dealt_lines(lines, none), None, *lookups)
+        wide = []
+        for df in (plain, dealt):
+            wide.append(0)
+            todo = [df._jdf.queryExecution().executedPlan()]
+            while todo:
+                node = todo.pop()
+                wide[-1] += node.nodeName() == "Exchange" and "orderComments" in node.output().mkString(",")
+                todo += [node.children().apply(k) for k in range(node.children().size())]
+        assert wide == [3, 0]
+        assert rows(dealt) == rows(plain) and dealt.count() == 9
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def loaded(spark, lines, named=False):
     """``fact.load_fact`` of ``lines``, whose orders are named by ``joins.ORDER`` or not."""
     def known(df, order="ordernumber"):
